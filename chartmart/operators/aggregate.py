@@ -33,10 +33,9 @@ def partial(
 
 
 def text_list(rows: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """Distinct values of ``col`` per key, in order, joined with ', '."""
-    distinct = rows.select(*keys, col).filter(F.col(col).isNotNull()).distinct()
+    """Distinct values of ``col`` per key, in order, joined with ', '; null where there is none."""
     listed = F.expr(f"listagg(`{col}`, ', ') WITHIN GROUP (ORDER BY `{col}`)")
-    return distinct.groupBy(*keys).agg(listed.alias(name))
+    return rows.select(*keys, col).distinct().groupBy(*keys).agg(listed.alias(name))
 
 
 def one_row(*branches: DataFrame) -> DataFrame:
