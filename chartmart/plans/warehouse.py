@@ -124,6 +124,12 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(SCHEMAS)
 
+    def path_of(self, *names: str) -> str:
+        """The folder, after making sure that the named tables are in it."""
+        for name in names:
+            self[name]
+        return self._path
+
     def _make(self, name: str) -> DataFrame:
         if name in self.STAGES:
             plan = {
