@@ -16,16 +16,14 @@ def check_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """
     counts = df.agg(
         *[
-            F.sum(F.when(~test, 1).otherwise(0)).cast("bigint").alias(name)
-            for name, test in rules.items()
+            F.coalesce(F.sum(F.when(~test, 1).otherwise(0)), F.lit(0)).alias(f"_{i}")
+            for i, test in enumerate(rules.values())
         ]
     )
     pairs = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("rule"), F.coalesce(F.col(name), F.lit(0)).alias("violations")
-            )
-            for name in rules
+            F.struct(F.lit(rule).alias("rule"), F.col(f"_{i}").alias("violations"))
+            for i, rule in enumerate(rules)
         ]
     )
     return counts.select(F.inline(pairs))

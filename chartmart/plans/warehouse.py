@@ -17,6 +17,7 @@ from chartmart.sources.tables import (
     materialise,
     read_table,
     write_table,
+    write_tables,
 )
 
 _DIM_BUILDERS = {
@@ -75,8 +76,7 @@ def write_warehouse(feed: DataFrame, path: str) -> dict[str, DataFrame]:
     with using_conf(spark, WIDE_ROW_CONF):
         clean = materialise(clean_rows(feed), f"{path}/_stage/clean")
     tables = build_from_clean(clean, lambda rows: materialise(rows, f"{path}/_stage/chart_rows"))
-    for name, table in tables.items():
-        write_table(table, path, name)
+    write_tables(tables, path)
     written = open_warehouse(spark, path)
     for name in DIMENSIONS:
         key = SCHEMAS[name].split()[0]

@@ -39,6 +39,8 @@ FEED_COLUMNS = (
 
 # Input order of a row. Everywhere "first" means lowest in this column.
 SEQ = "_seq"
+# File, split offset and, if given, sequence number of a row just read.
+PLACE = "_place"
 
 # The cell texts a pandas CSV reader takes for null by default.
 PANDAS_NULL_TOKENS = (
@@ -62,20 +64,30 @@ def _text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def _ordered(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
+def _cells(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
+    """The feed columns with null tokens nulled, and where each row came from."""
+    tokens = list(null_tokens)
     cells = [
-        F.when(~F.col(c).isin(*null_tokens), F.col(c)).alias(c) if null_tokens else F.col(c)
+        (F.when(~F.col(c).isin(tokens), F.col(c)) if tokens else F.col(c)).alias(c)
         for c in FEED_COLUMNS
     ]
-    # Row ids only order rows inside one split; file and split offset order the splits.
     place = [
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     ]
     if "seq" in df.columns:
         place.insert(0, F.col("seq").try_cast("bigint").alias("seq"))
-    return df.select(*cells, F.struct(*place).alias(SEQ))
+    return df.select(*cells, F.struct(*place).alias(PLACE))
+
+
+def with_input_order(cells: DataFrame) -> DataFrame:
+    """Turns the place of each row into the input order ``_seq``.
+
+    Row ids only order rows inside one split; file and split offset order the
+    splits. So the order does not depend on how splits are spread over tasks.
+    """
+    order = F.struct(f"{PLACE}.*", F.monotonically_increasing_id().alias("row"))
+    return cells.withColumn(SEQ, order).drop(PLACE)
 
 
 def read_feed(
@@ -98,7 +110,7 @@ def read_feed(
     if missing:
         raise ValueError(f"feed lacks columns {missing}")
     df = spark.read.schema(_text_schema(header)).options(**_options(multi_line)).csv(paths)
-    return _ordered(df, null_tokens)
+    return with_input_order(_cells(df, null_tokens))
 
 
 def stream_feed(
@@ -109,11 +121,14 @@ def stream_feed(
     max_files: int = 1,
     multi_line: bool = True,
 ) -> DataFrame:
-    """The same as a stream over arriving files; ``columns`` is their header order."""
+    """The same as a stream over arriving files; ``columns`` is their header order.
+
+    Row ids do not exist in a stream: apply ``with_input_order`` to its batches.
+    """
     df = (
         spark.readStream.schema(_text_schema(columns))
         .options(**_options(multi_line))
         .option("maxFilesPerTrigger", max_files)
         .csv(path)
     )
-    return _ordered(df, null_tokens)
+    return _cells(df, null_tokens)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,6 +89,23 @@ def write_table(df: DataFrame, path: str, name: str, mode: str = "overwrite") ->
         df.hint("rebalance").write.mode(mode).parquet(f"{path}/{name}")
 
 
+def write_tables(
+    tables: Mapping[str, DataFrame], path: str, mode: str = "overwrite", at_once: int = 4
+) -> None:
+    """Writes several tables, a few at a time, so that short jobs fill idle executors."""
+    with ThreadPoolExecutor(at_once) as pool:
+        writes = [pool.submit(write_table, df, path, name, mode) for name, df in tables.items()]
+        for write in writes:
+            write.result()
+
+
+def create_missing(spark: SparkSession, path: str) -> None:
+    """Makes an empty table of each that is not there yet."""
+    for name, schema in SCHEMAS.items():
+        empty = spark.createDataFrame([], schema).write.mode("ignore")
+        (empty.partitionBy(MONTH) if by_month(name) else empty).parquet(f"{path}/{name}")
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) of each table."""
     counts = [

@@ -79,7 +79,7 @@ def csv_scan(spark, sf_dir):
 def chunked_scan(spark, sf_dir):
     path = fresh_dir(spark, sf_dir, "chunks")
     write_feed_csv(warehouse(spark, sf_dir)["feed"], f"{path}/in")
-    stream = stream_feed(spark, f"{path}/in", [*FEED_COLUMNS, "seq"], max_files=4).drop("_seq")
+    stream = stream_feed(spark, f"{path}/in", [*FEED_COLUMNS, "seq"], max_files=4).drop("_place")
     (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", f"{path}/ckpt")
