@@ -5,6 +5,10 @@ once where it meets none. The right side is therefore counted per join key
 first; the join then adds one weight to each left row, and
 COUNT(*) = sum(w), SUM(x) = sum(x*w), AVG(x) = sum(x*w) / sum(w).
 MIN, MAX and distinct counts of left columns do not change.
+
+With song and day as join key no key is hot: the grain of the facts allows one
+chart row per country and one artist row per country and listed artist. A song
+that fills a third of the charts still spreads over its days.
 """
 
 from __future__ import annotations

@@ -66,7 +66,7 @@ def on_day(df: DataFrame, day: dt.date, date_col: str = "snapshot_date") -> Data
 
 
 def ranked_in_group(
-    df: DataFrame, group: Sequence[str], value: str, tie: str, name: str, width: int = 65_536
+    df: DataFrame, group: Sequence[str], value: str, tie: str, name: str, width: int = 1 << 20
 ) -> DataFrame:
     """Position of each row in its group by ``value`` descending, then ``tie`` ascending.
 

@@ -53,12 +53,19 @@ def _fan_avg(col: str) -> Column:
 
 
 def _with_artists(
-    best: DataFrame, song_rows: DataFrame, met: DataFrame, on: Sequence[str], t: Tables
+    best: DataFrame,
+    song_rows: DataFrame,
+    met: DataFrame,
+    on: Sequence[str],
+    t: Tables,
+    order: Sequence[Column],
+    n: int | None,
 ) -> DataFrame:
     """``best`` with ``artist_name``: the distinct artists of the song rows of each group.
 
     ``song_rows`` is ``best`` spread over its songs or song days, so the groups
-    are computed once; ``met`` holds ``on`` and the artists found there.
+    are computed once; ``met`` holds ``on`` and the artists found there. The
+    ``n`` groups come out in ``order``.
     """
     cols = best.columns
     named = (
@@ -69,7 +76,7 @@ def _with_artists(
         .distinct()
         .join(_dim(t, "dim_artist", "artist_key", "artist_name"), "artist_key", "left")
     )
-    return text_list(named, cols, "artist_name", "artist_name")
+    return top_k(text_list(named, cols, "artist_name", "artist_name"), order, n)
 
 
 # --- songs --------------------------------------------------------------------
@@ -101,7 +108,7 @@ def top_songs_global(t: Tables, n: int | None = 20) -> DataFrame:
             F.max("max_popularity_score").alias("max_popularity"),
         )
     )
-    spread = (
+    countries = (
         fact.select("song_key", "country_key")
         .distinct()
         .join(songs, "song_key")
@@ -110,13 +117,13 @@ def top_songs_global(t: Tables, n: int | None = 20) -> DataFrame:
         .agg(F.count_distinct("country_name").alias("num_countries"))
     )
     order = [down("avg_popularity"), down("num_countries"), F.asc("song_name")]
-    best = top_k(measured.join(spread, "song_name"), order, n)
+    best = top_k(measured.join(countries, "song_name"), order, n)
     # Artist rows only exist for song days on a chart, so songs alone lead to them.
     met = artists.select("song_key", "artist_key").distinct()
-    named = _with_artists(best, few(best, n).join(songs, "song_name"), met, ["song_key"], t)
-    return named.select(
+    spread = few(best, n).join(songs, "song_name")
+    return _with_artists(best, spread, met, ["song_key"], t, order, n).select(
         "song_name", "artist_name", "num_countries", "avg_popularity", "avg_rank", "max_popularity"
-    ).orderBy(*order)
+    )
 
 
 def trending_songs(
@@ -144,18 +151,14 @@ def trending_songs(
     songs = _dim(t, "dim_song", "song_key", "song_name")
     met = artists.select("song_key", F.col("snapshot_date").alias("date"), "artist_key").distinct()
     spread = few(best, n).join(songs, "song_name")
-    return (
-        _with_artists(best, spread, met, ["song_key", "date"], t)
-        .select(
-            "song_name",
-            "artist_name",
-            "date",
-            "avg_rank",
-            "avg_popularity",
-            "prev_rank",
-            "rank_change",
-        )
-        .orderBy(*order)
+    return _with_artists(best, spread, met, ["song_key", "date"], t, order, n).select(
+        "song_name",
+        "artist_name",
+        "date",
+        "avg_rank",
+        "avg_popularity",
+        "prev_rank",
+        "rank_change",
     )
 
 
@@ -365,9 +368,8 @@ def top_songs_by_country(t: Tables, k: int = 1, n: int | None = 50) -> DataFrame
         .join(days, ["song_key", "country_key"])
     )
     met = artists.select(*SONG_DAY, "artist_key").distinct()
-    named = _with_artists(best, spread, met, SONG_DAY, t)
-    return named.select("country_name", "song_name", "artist_name", "avg_popularity").orderBy(
-        *order
+    return _with_artists(best, spread, met, SONG_DAY, t, order, n).select(
+        "country_name", "song_name", "artist_name", "avg_popularity"
     )
 
 
@@ -530,17 +532,14 @@ def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
     )
     order = [down("days_at_number_one"), *keys]
     best = top_k(grouped, order, n)
-    return (
-        _with_artists(best, few(best, n).join(firsts, keys), met.distinct(), SONG_DAY, t)
-        .select(
-            "song_name",
-            "artist_name",
-            "country_name",
-            "days_at_number_one",
-            "first_date",
-            "last_date",
-        )
-        .orderBy(*order)
+    spread = few(best, n).join(firsts, keys)
+    return _with_artists(best, spread, met.distinct(), SONG_DAY, t, order, n).select(
+        "song_name",
+        "artist_name",
+        "country_name",
+        "days_at_number_one",
+        "first_date",
+        "last_date",
     )
 
 
@@ -596,17 +595,13 @@ def top_albums(t: Tables, n: int | None = 20) -> DataFrame:
         .join(fact.select(*SONG_DAY, "album_key"), "album_key")
     )
     met = artists.select(*SONG_DAY, "artist_key").distinct()
-    return (
-        _with_artists(best, spread, met, SONG_DAY, t)
-        .select(
-            "album_name",
-            "artist_name",
-            "release_year",
-            "num_songs",
-            "avg_popularity",
-            "total_rank_points",
-        )
-        .orderBy(*order)
+    return _with_artists(best, spread, met, SONG_DAY, t, order, n).select(
+        "album_name",
+        "artist_name",
+        "release_year",
+        "num_songs",
+        "avg_popularity",
+        "total_rank_points",
     )
 
 

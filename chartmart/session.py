@@ -26,6 +26,8 @@ def get_spark(app: str = "chartmart", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Hash instead of sort-merge joins where every shuffled partition is this small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.showConsoleProgress": "false",
         **WIDE_ROW_CONF,
     }
@@ -57,10 +59,11 @@ def using_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session may go without: it gets a temporary folder of its own.
+    It is the one the cluster names in ``spark.checkpoint.dir``, else the one
+    set on the context. Only a local session may go without: it gets a
+    temporary folder of its own.
     """
-    found = spark.conf.get(CHECKPOINT_DIR, None)
+    found = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
