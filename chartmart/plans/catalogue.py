@@ -507,32 +507,34 @@ def popularity_by_month(t: Tables) -> DataFrame:
     )
 
 
-def _number_one(t: Tables) -> DataFrame:
-    return (
+def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
+    keys = ["song_name", "country_name"]
+    firsts = (
         t["fact_song_daily"]
         .filter("daily_rank = 1")
         .select(*SONG_DAY, "country_key", "snapshot_date")
-        .join(_dim(t, "dim_song", "song_key", "song_name"), "song_key")
-        .join(_dim(t, "dim_country", "country_key", "country_name"), "country_key")
     )
-
-
-def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
-    keys = ["song_name", "country_name"]
-    firsts = _number_one(t)
-    artists = t["fact_artist_stats"]
     # Artist rows of number-one song days are few; drop the others before counting.
-    met = keep_keys(artists.select(*SONG_DAY, "artist_key"), firsts, SONG_DAY)
+    met = keep_keys(t["fact_artist_stats"].select(*SONG_DAY, "artist_key"), firsts, SONG_DAY)
+    songs = _dim(t, "dim_song", "song_key", "song_name")
+    countries = _dim(t, "dim_country", "country_key", "country_name")
     rows = firsts if exact else with_fan(firsts, met, SONG_DAY)
     count = F.count_distinct("snapshot_date") if exact else F.sum(FAN)
-    grouped = rows.groupBy(*keys).agg(
+    named = rows.join(songs, "song_key").join(countries, "country_key")
+    grouped = named.groupBy(*keys).agg(
         count.alias("days_at_number_one"),
         F.min("snapshot_date").alias("first_date"),
         F.max("snapshot_date").alias("last_date"),
     )
     order = [down("days_at_number_one"), *keys]
     best = top_k(grouped, order, n)
-    spread = few(best, n).join(firsts, keys)
+    days = firsts.select(*SONG_DAY, "country_key")
+    spread = (
+        few(best, n)
+        .join(songs, "song_name")
+        .join(countries, "country_name")
+        .join(days, ["song_key", "country_key"])
+    )
     return _with_artists(best, spread, met.distinct(), SONG_DAY, t, order, n).select(
         "song_name",
         "artist_name",

@@ -75,8 +75,10 @@ def write_warehouse(feed: DataFrame, path: str) -> dict[str, DataFrame]:
     spark = feed.sparkSession
     with using_conf(spark, WIDE_ROW_CONF):
         clean = materialise(clean_rows(feed), f"{path}/_stage/clean")
-    tables = build_from_clean(clean, lambda rows: materialise(rows, f"{path}/_stage/chart_rows"))
-    write_tables(tables, path)
+    tables = build_from_clean(
+        clean, lambda rows: materialise(rows, f"{path}/_stage/chart_rows", month_layout=True)
+    )
+    write_tables(tables, path, laid_out=_CHART_FACTS)
     written = open_warehouse(spark, path)
     for name in DIMENSIONS:
         key = SCHEMAS[name].split()[0]
@@ -138,12 +140,12 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
                 "chart_rows": lambda: facts.chart_rows(facts.resolve_keys(self["clean"])),
             }[name]()
             with using_conf(self._spark, WIDE_ROW_CONF):
-                return materialise(plan, f"{self._path}/_stage/{name}")
+                return materialise(plan, f"{self._path}/_stage/{name}", name == "chart_rows")
         if name in _DIM_BUILDERS:
             plan = _DIM_BUILDERS[name](self["clean"])
         elif name in _CHART_FACTS:
             plan = _CHART_FACTS[name](self["chart_rows"])
         else:
             plan = _KEYED_FACTS[name](facts.resolve_keys(self["clean"]))
-        write_table(plan, self._path, name)
+        write_table(plan, self._path, name, laid_out=name in _CHART_FACTS)
         return read_table(self._spark, self._path, name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -73,28 +73,44 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
 
 
-def write_table(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
-    """Writes one table.
+def _by_song(df: DataFrame) -> DataFrame:
+    """Rows of a task by month and song: aggregates by song then shrink before they shuffle."""
+    return df.sortWithinPartitions(MONTH, "song_key", "snapshot_date")
 
-    Dated facts go into month partitions: small months are merged into one
-    file, large ones split over several tasks. Sorting by song within a file
-    lets later aggregates by song shrink before they shuffle.
+
+def _month_layout(df: DataFrame) -> DataFrame:
+    """Small months merged into one task, large ones split over several."""
+    return _by_song(df.hint("rebalance", F.col(MONTH)))
+
+
+def write_table(
+    df: DataFrame, path: str, name: str, mode: str = "overwrite", laid_out: bool = False
+) -> None:
+    """Writes one table, dated facts in month partitions.
+
+    ``laid_out`` tells that the rows come from a stage already written by
+    month: then each task writes what it reads, without another shuffle.
     """
     if by_month(name):
-        laid_out = df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(
-            MONTH, "song_key", "snapshot_date"
-        )
-        laid_out.write.mode(mode).partitionBy(MONTH).parquet(f"{path}/{name}")
+        rows = _by_song(df) if laid_out else _month_layout(df)
+        rows.write.mode(mode).partitionBy(MONTH).parquet(f"{path}/{name}")
     else:
         df.hint("rebalance").write.mode(mode).parquet(f"{path}/{name}")
 
 
 def write_tables(
-    tables: Mapping[str, DataFrame], path: str, mode: str = "overwrite", at_once: int = 4
+    tables: Mapping[str, DataFrame],
+    path: str,
+    mode: str = "overwrite",
+    laid_out: Collection[str] = (),
+    at_once: int = 4,
 ) -> None:
     """Writes several tables, a few at a time, so that short jobs fill idle executors."""
     with ThreadPoolExecutor(at_once) as pool:
-        writes = [pool.submit(write_table, df, path, name, mode) for name, df in tables.items()]
+        writes = [
+            pool.submit(write_table, df, path, name, mode, name in laid_out)
+            for name, df in tables.items()
+        ]
         for write in writes:
             write.result()
 
@@ -123,7 +139,10 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
+def materialise(df: DataFrame, path: str, month_layout: bool = False) -> DataFrame:
     """Writes a result once and reads it from there: reuse that survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    if month_layout:
+        _month_layout(df).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
