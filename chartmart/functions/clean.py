@@ -15,10 +15,13 @@ _MAX_DOUBLE = 1.7976931348623157e308
 # and slashed days, and ISO years, months, days and times. Slashed dates are
 # month first, and day first only where the month would be impossible.
 DATE_PATTERNS: tuple[str, ...] = (
-    "[yyyyMMdd][M/d/yyyy][yyyy/M/d][yyyy[-M[-d[['T'][ ]H:m[:s][.SSSSSS][.SSS][XXX]]]]]",
+    "[yyyyMMdd][M/d/yyyy][yyyy/M/d][yyyy[-M[-d[['T'][ ]H:m[:s][.SSSSSSSSS]]]]]",
     "d/M/yyyy",
 )
 
+# A time zone after a time does not move the day that is written.
+_ZONE = r"(:[0-9.]+)\s*(Z|UTC|[+-]\d{2}:?\d{2})$"
+
 TRUE_WORDS = ("true", "1", "yes", "t")
 DEFAULT_COUNTRY = "GLOBAL"
 MAX_MOVEMENT = 1_000_000_000
@@ -31,8 +34,9 @@ def clean_text(col: Column) -> Column:
 
 def to_number(col: Column) -> Column:
     """Text as double, null where it is no number."""
-    # A cast would read '1d' and '1f' as numbers with a type suffix; hide those letters from it.
-    return F.translate(col, "dDfF", "____").try_cast("double")
+    # A cast would also read type suffixes, as in '1d', and hex numbers, as in '0x1p0': hide
+    # the letters of both from it.
+    return F.translate(col, "dDfFxXpP", "________").try_cast("double")
 
 
 def in_range(
@@ -59,7 +63,7 @@ def clean_boolean(col: Column) -> Column:
 
 def clean_date(col: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
     """Date from the first pattern that fits, else null."""
-    text = F.nullif(F.trim(col), F.lit(""))
+    text = F.nullif(F.regexp_replace(F.trim(col), _ZONE, "$1"), F.lit(""))
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in patterns])
 
 

@@ -38,6 +38,10 @@ def test_clean_date(values):
         "2023-10-18 00:00:00": D,
         "2023-10-18T01:02:03Z": D,
         "2023-10-18T01:02:03.123456": D,
+        "2023-10-18 01:02:03.5": D,
+        "2023-10-18T01:00:00+05:00": D,
+        "2023-10-18 23:30:00-0800": D,
+        "2023-10-18 23:30 UTC": D,
         "10/18/2023": D,
         "18/10/2023": D,
         "2023/10/18": D,

@@ -14,7 +14,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-SLOW = ("s1_", "s2_", "s5_", "x1_", "x2_", "x3_", "c8_", "c11_", "v5_", "v6_", "g9_")
+SLOW = ("s1_", "s2_", "s4_", "s5_", "x1_", "x2_", "x3_", "c8_", "c11_", "v", "g9_", "k", "a", "l", "p")
 KEYS = [k for k in queries() if os.environ.get("CHART_ALL") or not k.startswith(SLOW)]
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the test data")
