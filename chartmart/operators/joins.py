@@ -1,4 +1,4 @@
-"""Join helpers. Spark broadcasts a side by its own size check, never by a blind hint."""
+"""Join helpers. There are no hints: Spark broadcasts a side by its own size check."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows that a limit or a fixed label set proves to be few enough to broadcast.
+# Rows that a limit must not exceed for its result to be treated as small.
 BROADCAST_ROWS = 100_000
 
 
@@ -61,8 +61,3 @@ def drop_keys(
     known = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on])
     return df.join(known, same, "left_anti")
-
-
-def few(df: DataFrame, rows: int | None) -> DataFrame:
-    """Hints a broadcast for a result proven to hold at most ``rows`` rows, if that is few."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df

@@ -1,0 +1,44 @@
+"""Second steps over a result that a limit has made small.
+
+The bounded result is run and written once; what follows reads it back and
+looks up its keys in the facts by a filter that reaches the scan, instead of
+shuffling the facts once more.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chartmart.operators.joins import BROADCAST_ROWS, keep_keys
+from chartmart.session import shared_dir
+from chartmart.sources.tables import materialise
+
+# Most key values that go into a filter; above that a semi join does the same.
+FILTER_VALUES = 1_000
+
+
+def settle(df: DataFrame, n: int | None) -> DataFrame:
+    """A result of at most ``n`` rows, run and written; an unlimited or long one stays a plan."""
+    if n is None or n > BROADCAST_ROWS:
+        return df
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    return materialise(df, f"{shared_dir(spark)}/chartmart/{app}/settled/{uuid.uuid4().hex}")
+
+
+def narrower(chosen: DataFrame, key: str, n: int | None) -> Callable[[DataFrame], DataFrame]:
+    """A function that cuts a table to the key values of ``chosen``.
+
+    ``n`` is the limit behind ``chosen``; without one there is nothing to cut.
+    """
+    if n is None or n > BROADCAST_ROWS:
+        return lambda df: df
+    found = chosen.select(key).distinct().limit(FILTER_VALUES + 1).collect()
+    if len(found) > FILTER_VALUES:
+        return lambda df: keep_keys(df, chosen.select(key).distinct(), [key])
+    values = [row[0] for row in found]
+    return lambda df: df.filter(F.col(key).isin(values))

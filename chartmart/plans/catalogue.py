@@ -3,7 +3,8 @@
 Every query takes the tables by name and returns an ordered DataFrame. Each
 fact is first aggregated by song or artist key (``partial``), so dimension
 joins and distinct counts work on keys instead of chart rows. Artist name lists
-are made only for the groups that a limit has chosen.
+are made only for the groups that a limit has chosen: queries with such lists
+run up to their limit when called, and return the rest as a plan.
 
 Queries marked "fan" are defined over chart rows left-joined to artist rows on
 song and day alone: one chart row counts once per artist row of that song and
@@ -22,7 +23,8 @@ from chartmart.functions import classify as k
 from chartmart.functions.metrics import average
 from chartmart.operators.aggregate import one_row, partial, text_list
 from chartmart.operators.fan import FAN, weighted, with_fan, with_members
-from chartmart.operators.joins import few, keep_keys
+from chartmart.operators.joins import keep_keys
+from chartmart.operators.late import narrower, settle
 from chartmart.operators.rows import down, recent, top_k, top_k_per, with_previous
 
 Tables = Mapping[str, DataFrame]
@@ -117,10 +119,10 @@ def top_songs_global(t: Tables, n: int | None = 20) -> DataFrame:
         .agg(F.count_distinct("country_name").alias("num_countries"))
     )
     order = [down("avg_popularity"), down("num_countries"), F.asc("song_name")]
-    best = top_k(measured.join(countries, "song_name"), order, n)
+    best = settle(top_k(measured.join(countries, "song_name"), order, n), n)
+    spread = best.join(songs, "song_name")
     # Artist rows only exist for song days on a chart, so songs alone lead to them.
-    met = artists.select("song_key", "artist_key").distinct()
-    spread = few(best, n).join(songs, "song_name")
+    met = narrower(spread, "song_key", n)(artists.select("song_key", "artist_key")).distinct()
     return _with_artists(best, spread, met, ["song_key"], t, order, n).select(
         "song_name", "artist_name", "num_countries", "avg_popularity", "avg_rank", "max_popularity"
     )
@@ -147,11 +149,12 @@ def trending_songs(
     )
     moved = with_previous(grouped, ["song_name"], ["date"], "avg_rank", "prev_rank", "rank_change")
     order = [down("date"), down("avg_popularity"), F.asc("song_name")]
-    best = top_k(moved, order, n)
-    songs = _dim(t, "dim_song", "song_key", "song_name")
-    met = artists.select("song_key", F.col("snapshot_date").alias("date"), "artist_key").distinct()
-    spread = few(best, n).join(songs, "song_name")
-    return _with_artists(best, spread, met, ["song_key", "date"], t, order, n).select(
+    best = settle(top_k(moved, order, n), n)
+    spread = best.join(_dim(t, "dim_song", "song_key", "song_name"), "song_name")
+    met = narrower(spread, "song_key", n)(artists).select(
+        "song_key", F.col("snapshot_date").alias("date"), "artist_key"
+    )
+    return _with_artists(best, spread, met.distinct(), ["song_key", "date"], t, order, n).select(
         "song_name",
         "artist_name",
         "date",
@@ -359,15 +362,13 @@ def top_songs_by_country(t: Tables, k: int = 1, n: int | None = 50) -> DataFrame
     )
     inner = [down("avg_popularity"), F.asc("song_name")]
     order = [F.asc("country_name"), *inner]
-    best = top_k(top_k_per(grouped, ["country_name"], inner, k), order, n)
-    days = fact.select(*SONG_DAY, "country_key")
-    spread = (
-        few(best, n)
-        .join(songs, "song_name")
-        .join(countries, "country_name")
-        .join(days, ["song_key", "country_key"])
-    )
-    met = artists.select(*SONG_DAY, "artist_key").distinct()
+    best = settle(top_k(top_k_per(grouped, ["country_name"], inner, k), order, n), n)
+    chosen = best.join(songs, "song_name").join(countries, "country_name")
+    cut = narrower(chosen, "song_key", n)
+    spread = chosen.join(
+        cut(fact.select(*SONG_DAY, "country_key")), ["song_key", "country_key"]
+    )
+    met = cut(artists.select(*SONG_DAY, "artist_key")).distinct()
     return _with_artists(best, spread, met, SONG_DAY, t, order, n).select(
         "country_name", "song_name", "artist_name", "avg_popularity"
     )
@@ -514,11 +515,11 @@ def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
         .filter("daily_rank = 1")
         .select(*SONG_DAY, "country_key", "snapshot_date")
     )
-    # Artist rows of number-one song days are few; drop the others before counting.
-    met = keep_keys(t["fact_artist_stats"].select(*SONG_DAY, "artist_key"), firsts, SONG_DAY)
+    artists = t["fact_artist_stats"].select(*SONG_DAY, "artist_key")
     songs = _dim(t, "dim_song", "song_key", "song_name")
     countries = _dim(t, "dim_country", "country_key", "country_name")
-    rows = firsts if exact else with_fan(firsts, met, SONG_DAY)
+    # Artist rows of number-one song days are few; the others are dropped before counting.
+    rows = firsts if exact else with_fan(firsts, keep_keys(artists, firsts, SONG_DAY), SONG_DAY)
     count = F.count_distinct("snapshot_date") if exact else F.sum(FAN)
     named = rows.join(songs, "song_key").join(countries, "country_key")
     grouped = named.groupBy(*keys).agg(
@@ -527,15 +528,13 @@ def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
         F.max("snapshot_date").alias("last_date"),
     )
     order = [down("days_at_number_one"), *keys]
-    best = top_k(grouped, order, n)
-    days = firsts.select(*SONG_DAY, "country_key")
-    spread = (
-        few(best, n)
-        .join(songs, "song_name")
-        .join(countries, "country_name")
-        .join(days, ["song_key", "country_key"])
+    best = settle(top_k(grouped, order, n), n)
+    chosen = best.join(songs, "song_name").join(countries, "country_name")
+    cut = narrower(chosen, "song_key", n)
+    spread = chosen.join(
+        cut(firsts.select(*SONG_DAY, "country_key")), ["song_key", "country_key"]
     )
-    return _with_artists(best, spread, met.distinct(), SONG_DAY, t, order, n).select(
+    return _with_artists(best, spread, cut(artists).distinct(), SONG_DAY, t, order, n).select(
         "song_name",
         "artist_name",
         "country_name",
@@ -587,17 +586,15 @@ def top_albums(t: Tables, n: int | None = 20) -> DataFrame:
         )
     )
     order = [down("avg_popularity"), F.asc("album_name"), F.asc_nulls_last("release_year")]
-    best = top_k(measured, order, n)
+    best = settle(top_k(measured, order, n), n)
     same = F.col("_name").eqNullSafe(F.col("album_name")) & F.col("_year").eqNullSafe(
         F.col("release_year")
     )
-    spread = (
-        few(best, n)
-        .join(albums.toDF("album_key", "_name", "_year"), same)
-        .join(fact.select(*SONG_DAY, "album_key"), "album_key")
-    )
-    met = artists.select(*SONG_DAY, "artist_key").distinct()
-    return _with_artists(best, spread, met, SONG_DAY, t, order, n).select(
+    chosen = best.join(albums.toDF("album_key", "_name", "_year"), same)
+    days = narrower(chosen, "album_key", n)(fact.select(*SONG_DAY, "album_key"))
+    spread = chosen.join(days, "album_key")
+    met = narrower(spread, "song_key", n)(artists.select(*SONG_DAY, "artist_key"))
+    return _with_artists(best, spread, met.distinct(), SONG_DAY, t, order, n).select(
         "album_name",
         "artist_name",
         "release_year",
