@@ -32,9 +32,9 @@ ORACLE = {
     "op3_quality_rules": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS ws,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
     list_filter(string_split(coalesce(text, ''), chr(10)),
-      l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+      lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
   FROM documents),
 w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
 t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM (
