@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmart.llm import quality_rules
+from chartmart.llm import fingerprints, packing, pii, quality_rules
 from chartmart.llm.common import documents
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: pattern counts and digest, and all spans."""
+    return pii.find(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its measures and the verdict of the rule cascade."""
     judged = quality_rules.judged(documents(spark, sf_dir).select("doc_id", "text"))
@@ -25,7 +30,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how alike they are."""
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op3_quality_rules": op3_quality_rules,
+    "op9_packing": op9_packing,
+    "op10_fingerprints": op10_fingerprints,
+}
 
 # Words: [^\x20\x09-\x0D]+. Windows are compared as texts, capitals and letters by Unicode class.
 ORACLE = {
