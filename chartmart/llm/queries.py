@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmart.llm import fingerprints, packing, pii, quality_rules
+from chartmart.llm import fingerprints, packing, pii, quality_rules, secrets
 from chartmart.llm.common import documents
 
 
@@ -30,6 +30,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: pattern counts and digest, and all spans."""
+    found = secrets.find(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.written(F.col("_base")), 256).alias("base_sha256"),
+        secrets.written(F.col("_spans")).alias("spans"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     return packing.pack(documents(spark, sf_dir))
@@ -43,6 +57,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op6_secrets": op6_secrets,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
 }
