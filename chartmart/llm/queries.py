@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmart.llm import fingerprints, packing, pii, quality_rules, secrets
+from chartmart.llm import (
+    fingerprints,
+    near_duplicates,
+    packing,
+    pii,
+    quality_rules,
+    secrets,
+)
 from chartmart.llm.common import documents
 
 
@@ -44,6 +51,12 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shingle count and the component of near-duplicates it is in."""
+    found = near_duplicates.classified(documents(spark, sf_dir))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     return packing.pack(documents(spark, sf_dir))
@@ -58,6 +71,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
     "op6_secrets": op6_secrets,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
 }
