@@ -72,19 +72,18 @@ def _repeated_starts(hashes: Column) -> Column:
 
 def _n_repeat_words(ws: Column) -> Column:
     """Words inside any 3-word window that the text holds twice; windows compare by 64-bit hash."""
-    hashes = F.when(
-        F.size(ws) >= 3,
+    hashes = lambda w: F.when(
+        F.size(w) >= 3,
         F.transform(
-            F.sequence(F.lit(0), F.size(ws) - 3),
-            lambda i: F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2)),
+            F.sequence(F.lit(0), F.size(w) - 3),
+            lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    return let(
-        hashes,
-        lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
-            _covered(_repeated_starts(h))
-        ),
-    ).cast("long")
+    covered = lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
+        _covered(_repeated_starts(h))
+    )
+    # The optimiser may put the words' own expression in place of ``ws``: it must stand once.
+    return let(ws, lambda w: let(hashes(w), covered)).cast("long")
 
 
 def _letters(text: Column, kind: str) -> Column:
@@ -138,13 +137,17 @@ RULES = (
 )
 
 
-def with_words(docs: DataFrame, text: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """``_row`` with the input's columns (or ``keep``), ``_text`` without nulls, and ``_words``."""
-    kept = keep if keep is not None else [F.col(f"`{c}`") for c in docs.columns]
+def with_text(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``_row`` with the input's columns and ``_text`` without nulls."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return docs.select(F.struct(*kept).alias("_row"), plain.alias("_text")).withColumn(
-        "_words", words(F.col("_text"))
-    )
+    return docs.select(row.alias("_row"), plain.alias("_text"))
+
+
+def measured(rule_body) -> Column:
+    """``rule_body(measures)`` with the words of ``_text`` split once."""
+    text = F.col("_text")
+    return let(words(text), lambda ws: rule_body(Measures(text, ws)))
 
 
 def estimate(docs: DataFrame, rules=RULES, text: str = "text") -> list[dict]:
@@ -154,12 +157,10 @@ def estimate(docs: DataFrame, rules=RULES, text: str = "text") -> list[dict]:
     half a row, so cheap rules go before dear ones.
     """
     rows = docs.select(F.col(f"`{text}`").alias("text"))
-    sample = settle(rows.sample(SAMPLE_SHARE, seed=17).limit(SAMPLE_ROWS), "rules-sample")
-    held = with_words(sample)
-    m = Measures(F.col("_text"), F.col("_words"))
+    held = with_text(settle(rows.sample(SAMPLE_SHARE, seed=17).limit(SAMPLE_ROWS), "rules-sample"))
     found = []
     for rule in rules:
-        job = held.agg(F.count_if(rule.rejects(m)).alias("n"), F.count("*").alias("of"))
+        job = held.agg(F.count_if(measured(rule.rejects)).alias("n"), F.count("*").alias("of"))
         job.collect()  # compiles; the second run is measured
         start = time.perf_counter()
         n, of = job.first()
@@ -181,17 +182,17 @@ def first_rejection(rules, measures) -> Column:
 def cascade(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """The documents that pass all rules, with their own columns."""
     order = [x["rule"] for x in estimate(docs, rules, text)]
-    held = with_words(docs, text)
-    verdict = first_rejection(order, Measures(F.col("_text"), F.col("_words")))
-    return held.where(verdict.isNull()).select("_row.*")
+    verdict = measured(lambda m: first_rejection(order, m))
+    return with_text(docs, text).where(verdict.isNull()).select("_row.*")
+
+
+NAMES = "n_words word_chars n_symbols n_dup_lines n_lines n_repeat_words n_capitals n_letters".split()
 
 
 def judged(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """Every document as ``_row`` with all measures and ``rejected_by``, for reports."""
     order = [x["rule"] for x in estimate(docs, rules, text)]
+    held = with_text(docs, text).withColumn("_words", words(F.col("_text")))
     m = Measures(F.col("_text"), F.col("_words"))
-    names = (
-        "n_words word_chars n_symbols n_dup_lines n_lines n_repeat_words n_capitals n_letters".split()
-    )
-    measured = with_words(docs, text).select("_row", *[getattr(m, c).alias(c) for c in names])
-    return measured.withColumn("rejected_by", first_rejection(order, Columns()))
+    found = held.select("_row", *[getattr(m, c).alias(c) for c in NAMES])
+    return found.withColumn("rejected_by", first_rejection(order, Columns()))

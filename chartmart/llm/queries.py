@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartmart.llm import (
     fingerprints,
+    mixing,
     near_duplicates,
     packing,
     pii,
@@ -37,6 +38,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its tokens, topic, cell weight and probability, and whether it is drawn."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
+    found = mixing.weighed(docs)
+    return found.select(
+        F.col("_row.doc_id").alias("doc_id"),
+        *("source", "lang", "topic", "n_tokens", "weight", "probability", "sampled"),
+    )
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: pattern counts and digest, and all spans."""
     found = secrets.find(documents(spark, sf_dir).select("doc_id", "text"))
@@ -70,6 +81,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing,

@@ -20,8 +20,6 @@ of the input are kept as they are, whatever their names.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,8 +125,7 @@ def _place(c: Column, k: Column) -> Column:
 def statistic(run: Column) -> Column:
     """Sum of squared deviations from randomness: uniformity (excess only), runs, correlation."""
     chars = F.array_remove(F.split(run, ""), "")
-    k = _size_of_alphabet(run)
-    places = let(k, lambda k: F.transform(chars, lambda c: _place(_code(F.ascii(c)), k)))
+    places = lambda k: F.transform(chars, lambda c: _place(_code(F.ascii(c)), k))
     squares = lambda xs: F.aggregate(  # noqa: E731  sum of squared counts
         F.sort_array(xs),
         F.struct(F.lit(-1).alias("x"), F.lit(0).alias("run"), F.lit(0.0).alias("sum")),
@@ -180,15 +177,20 @@ def statistic(run: Column) -> Column:
 
         return let(sums(xs, k / 2), rest)
 
-    return let(places, lambda xs: combined(xs, F.lit(1) * k))
+    return let(_size_of_alphabet(run), lambda k: let(places(k), lambda xs: combined(xs, k)))
 
 
 def tested_runs(text: Column, base: Column) -> Column:
     """Runs outside pattern spans: (start, end, band, statistic, word), word for ordinary words."""
-    located = F.filter(
-        _located(text, RUN),
-        lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        & (x["m"].rlike("^[A-Za-z][a-z]+$") | x["m"].rlike("^(?=.*[0-9])(?=.*[A-Za-z])")),
+    apart = lambda x, bs: ~F.exists(
+        bs, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])
+    )
+    kinds = lambda x: x["m"].rlike("^[A-Za-z][a-z]+$") | x["m"].rlike(
+        "^(?=.*[0-9])(?=.*[A-Za-z])"
+    )
+    # The optimiser may put the spans' own expression in place of ``base``: it must stand once.
+    located = let(
+        base, lambda bs: F.filter(_located(text, RUN), lambda x: apart(x, bs) & kinds(x))
     )
     band = lambda n: sum(((n >= b).cast("int") for b in BANDS[1:]), F.lit(0))
     tested = F.transform(
