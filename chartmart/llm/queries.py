@@ -11,6 +11,7 @@ from chartmart.llm import (
     near_duplicates,
     packing,
     pii,
+    quality_classifier,
     quality_rules,
     secrets,
 )
@@ -38,6 +39,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; the labels of the held-out fold are never learnt."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality_classifier.classified(documents(spark, sf_dir), labels)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its tokens, topic, cell weight and probability, and whether it is drawn."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
@@ -81,6 +88,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_quality_rules": op3_quality_rules,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
     "op8_near_duplicates": op8_near_duplicates,
