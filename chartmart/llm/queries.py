@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.llm import (
+    exact_substrings,
     fingerprints,
     mixing,
     near_duplicates,
@@ -69,6 +70,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the byte strings that occur elsewhere."""
+    return exact_substrings.removed(documents(spark, sf_dir)).drop("kept")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its shingle count and the component of near-duplicates it is in."""
     found = near_duplicates.classified(documents(spark, sf_dir))
@@ -91,6 +97,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_mixing": op5_mixing,
     "op6_secrets": op6_secrets,
+    "op7_exact_substrings": op7_exact_substrings,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
