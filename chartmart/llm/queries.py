@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chartmart.llm import (
     exact_substrings,
     fingerprints,
+    fuzzy_passages,
     mixing,
     near_duplicates,
     packing,
@@ -24,6 +25,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op2_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that a document shares, edits allowed, with an earlier one."""
+    return fuzzy_passages.passages(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its measures and the verdict of the rule cascade."""
     judged = quality_rules.judged(documents(spark, sf_dir).select("doc_id", "text"))
@@ -93,6 +99,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_fuzzy_passages": op2_fuzzy_passages,
     "op3_quality_rules": op3_quality_rules,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_mixing": op5_mixing,
