@@ -81,25 +81,29 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return least.astype(">u4")  # byte order is number order
 
 
-_SIGNED = "doc_id long, n_shingles long, set_id string, signature binary"
+# ``sketch`` is the lowest byte of each value: enough to tell pairs far below the threshold.
+_SIGNED = "doc_id long, n_shingles long, set_id string, signature binary, sketch binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, ids, signatures = [], [], []
+        sizes, ids, signatures, sketches = [], [], [], []
         for text in batch.column("text").to_pylist():
             found = shingle_set(text)
             sizes.append(len(found))
             ids.append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
-            signatures.append(signature(found).tobytes() if len(found) else None)
+            values = signature(found) if len(found) else None
+            signatures.append(values.tobytes() if len(found) else None)
+            sketches.append(values.astype(np.uint8).tobytes() if len(found) else None)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(ids, pa.string()),
                 pa.array(signatures, pa.binary()),
+                pa.array(sketches, pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_id", "signature"],
+            ["doc_id", "n_shingles", "set_id", "signature", "sketch"],
         )
 
 
@@ -107,15 +111,21 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_sign, _SIGNED)
 
 
-def _in_trees(classes: DataFrame) -> DataFrame:
-    """(tree, key, doc, n) for every class and tree."""
+def _forest(classes: DataFrame) -> DataFrame:
+    """(tree, key, doc, n) of every class and tree, where another class shares the least depth.
+
+    Most classes share no prefix with any other: they go before anything is sorted or compared.
+    """
     width = 4 * DEPTH
     keys = [
         F.struct(F.lit(t).alias("tree"), F.substring("signature", t * width + 1, width).alias("key"))
         for t in range(TREES)
     ]
-    held = classes.select("doc", "n", F.explode(F.array(*keys)).alias("at"))
-    return held.select("at.tree", "at.key", "doc", "n")
+    trees = classes.select("doc", "n", F.explode(F.array(*keys)).alias("at"))
+    prefix = F.substring("at.key", 1, 4 * LEAST_DEPTH)
+    trees = trees.select("at.tree", "at.key", "doc", "n", F.xxhash64("at.tree", prefix).alias("r"))
+    shared = trees.groupBy("r").agg(F.count("*").alias("size")).where("size > 1").select("r")
+    return settle(trees.join(shared.hint("merge"), "r", "left_semi").drop("r"), "forest")
 
 
 _PAIR = "a long, b long"
@@ -165,14 +175,14 @@ def _pivots(trees: DataFrame) -> DataFrame:
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of classes (doc, n, signature) that the forest brings together."""
-    trees = settle(_in_trees(classes), "forest")
+    trees = _forest(classes)
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = trees.repartitionByRange(parts, "tree", "key", "doc")
     ordered = ordered.sortWithinPartitions("tree", "key", "doc")
     pairs = ordered.mapInArrow(_neighbours, _PAIR).union(_pivots(trees)).distinct()
-    s = classes.select("doc", "signature")
-    pairs = pairs.join(s.withColumnsRenamed({"doc": "a", "signature": "sa"}), "a")
-    pairs = pairs.join(s.withColumnsRenamed({"doc": "b", "signature": "sb"}), "b")
+    s = classes.select("doc", "sketch")
+    pairs = pairs.join(s.withColumnsRenamed({"doc": "a", "sketch": "sa"}), "a")
+    pairs = pairs.join(s.withColumnsRenamed({"doc": "b", "sketch": "sb"}), "b")
     return pairs.mapInArrow(_plausible, _PAIR)
 
 
@@ -184,7 +194,7 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         sa, sb = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, n)
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, n)
             for c in ("sa", "sb")
         )
         keep = pa.array((sa == sb).sum(axis=1) >= least)
@@ -227,11 +237,13 @@ def classified(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc"),
         F.first("n_shingles").alias("n"),
         F.first("signature").alias("signature"),
+        F.first("sketch").alias("sketch"),
     )
     classes = settle(classes, "classes")
     pairs = settle(candidates(classes), "candidates")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    one = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    # The ids grow with the documents, so they are never broadcast, also where they would fit.
+    one = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
     links = confirmed(pairs, one)
     roots = components(links)
     of_class = classes.join(roots, classes["doc"] == roots["node"], "left").select(
@@ -248,5 +260,5 @@ def kept(docs: DataFrame) -> DataFrame:
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
     stays = classified(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = docs.join(stays.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return first.select(*docs.columns).union(docs.where("doc_id IS NULL"))
