@@ -35,7 +35,7 @@ LABELS = len(KINDS) + 1
 
 TRAIN_DOCS = 2000
 TRAIN_CHARS = 20_000  # longer documents are not trained on
-MIN_POSTERIOR = 0.95
+MIN_POSTERIOR = 0.9
 SWEEPS, DAMPING = 8, 0.3
 NODES_AT_ONCE = 50_000
 
