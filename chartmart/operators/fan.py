@@ -61,14 +61,14 @@ def fan_join_agg(
 
     ``measures`` maps a result name to ``(op, left column)`` with op one of
     count, sum, avg, min, max, count_distinct. ``distinct`` maps a result name to a right
-    column whose distinct values are counted. Averaged and summed columns must
-    not be null.
+    column whose distinct values are counted. Null values count in no aggregate
+    but ``count``, as in the joined result.
     """
     rows = with_fan(left, right, on)
     ops = {
         "count": lambda c: F.sum(FAN),
         "sum": weighted,
-        "avg": lambda c: average(weighted(c), F.sum(FAN)),
+        "avg": lambda c: average(weighted(c), F.sum(F.when(F.col(c).isNotNull(), F.col(FAN)))),
         "min": F.min,
         "max": F.max,
         "count_distinct": F.count_distinct,

@@ -24,7 +24,7 @@ def bag(df):
 def test_fan_equals_the_plain_join(spark, seed):
     rng = random.Random(seed)
     left = spark.createDataFrame(
-        [(rng.randrange(3), rng.randrange(3), rng.choice(["a", "b", None]), rng.randrange(9)) for _ in range(30)],
+        [(rng.randrange(3), rng.randrange(3), rng.choice(["a", "b", None]), rng.choice([None, *range(9)])) for _ in range(30)],
         "k int, d int, g string, x int",
     )
     right = spark.createDataFrame(
