@@ -15,20 +15,21 @@ from chartmart.plans import catalogue as q
 Tables = Mapping[str, DataFrame]
 
 
-def mood_distribution(t: Tables) -> DataFrame:
-    return q.audio_features_trending(t).groupBy("mood").agg(F.sum("song_count").alias("song_count"))
+def mood_distribution(t: Tables, cut: int | None = None) -> DataFrame:
+    """Here and below, ``cut`` limits the first result as the dashboard does; ``None`` takes all."""
+    return q.audio_features_trending(t, n=cut).groupBy("mood").agg(F.sum("song_count").alias("song_count"))
 
 
-def energy_dance_matrix(t: Tables) -> DataFrame:
+def energy_dance_matrix(t: Tables, cut: int | None = None) -> DataFrame:
     return (
-        q.audio_features_trending(t)
+        q.audio_features_trending(t, n=cut)
         .groupBy("energy_level", "danceability_level")
         .agg(F.sum("song_count").alias("song_count"))
     )
 
 
-def artist_tier_sizes(t: Tables) -> DataFrame:
-    return q.artist_followers(t).groupBy("artist_tier").agg(F.count(F.lit(1)).alias("count"))
+def artist_tier_sizes(t: Tables, cut: int | None = None) -> DataFrame:
+    return q.artist_followers(t, n=cut).groupBy("artist_tier").agg(F.count(F.lit(1)).alias("count"))
 
 
 def regional_moods(t: Tables, k: int = 10, cut: int | None = 100) -> DataFrame:
@@ -47,9 +48,9 @@ def regional_moods(t: Tables, k: int = 10, cut: int | None = 100) -> DataFrame:
     return keep_keys(moods, best, ["region"])
 
 
-def _feature_popularity(t: Tables, level: str) -> DataFrame:
+def _feature_popularity(t: Tables, level: str, cut: int | None) -> DataFrame:
     return (
-        q.audio_features_popularity(t)
+        q.audio_features_popularity(t, n=cut)
         .groupBy(level)
         .agg(
             F.avg("avg_popularity").alias("avg_popularity"),
@@ -58,13 +59,13 @@ def _feature_popularity(t: Tables, level: str) -> DataFrame:
     )
 
 
-def popularity_by_energy(t: Tables) -> DataFrame:
+def popularity_by_energy(t: Tables, cut: int | None = None) -> DataFrame:
     """Unweighted mean of group averages."""
-    return _feature_popularity(t, "energy_level")
+    return _feature_popularity(t, "energy_level", cut)
 
 
-def popularity_by_danceability(t: Tables) -> DataFrame:
-    return _feature_popularity(t, "danceability_level")
+def popularity_by_danceability(t: Tables, cut: int | None = None) -> DataFrame:
+    return _feature_popularity(t, "danceability_level", cut)
 
 
 def explicit_types(t: Tables) -> DataFrame:

@@ -310,15 +310,20 @@ ANALYSES = {
 }
 
 
-def _second(level: str) -> str:
+def _whole(query: str) -> str:
+    """The query without its limit."""
+    return query.rsplit("LIMIT", 1)[0]
+
+
+def _second(level: str, source: str = FEATURE_POPULARITY) -> str:
     return f"""
         SELECT {level}, ROUND(AVG(avg_popularity), 6) AS avg_popularity,
           CAST(SUM(song_count) AS BIGINT) AS song_count
-        FROM ({FEATURE_POPULARITY}) GROUP BY {level}"""
+        FROM ({source}) GROUP BY {level}"""
 
 
 def _first(query: str, n: int) -> str:
-    return f"SELECT * FROM ({query.rsplit('LIMIT', 1)[0]} LIMIT {n})"
+    return f"SELECT * FROM ({_whole(query)} LIMIT {n})"
 
 
 SUMMARIES = {
@@ -330,6 +335,16 @@ SUMMARIES = {
         FROM ({AUDIO_TRENDING}) GROUP BY energy_level, danceability_level""",
     "g3_artist_tier_sizes": f"""
         SELECT artist_tier, COUNT(*) AS count FROM ({FOLLOWERS}) GROUP BY artist_tier""",
+    "g1_mood_distribution_all": f"""
+        SELECT mood, CAST(SUM(song_count) AS BIGINT) AS song_count
+        FROM ({_whole(AUDIO_TRENDING)}) GROUP BY mood""",
+    "g2_energy_dance_matrix_all": f"""
+        SELECT energy_level, danceability_level, CAST(SUM(song_count) AS BIGINT) AS song_count
+        FROM ({_whole(AUDIO_TRENDING)}) GROUP BY energy_level, danceability_level""",
+    "g3_artist_tier_sizes_all": f"""
+        SELECT artist_tier, COUNT(*) AS count FROM ({_whole(FOLLOWERS)}) GROUP BY artist_tier""",
+    "g5_popularity_by_energy_all": _second("energy_level", _whole(FEATURE_POPULARITY)),
+    "g6_popularity_by_danceability_all": _second("danceability_level", _whole(FEATURE_POPULARITY)),
     "g4_regional_moods": f"""
         WITH regional AS ({REGIONAL}),
         best AS (SELECT region FROM regional GROUP BY region

@@ -66,12 +66,21 @@ QUERIES: dict[str, Query] = {
     ),
     "r09_artist_growth": on_tables(analyses.artist_growth, year=2000),
     "r10_song_listing": on_tables(analyses.song_listing),
-    "g1_mood_distribution": on_tables(summaries.mood_distribution),
-    "g2_energy_dance_matrix": on_tables(summaries.energy_dance_matrix),
-    "g3_artist_tier_sizes": on_tables(summaries.artist_tier_sizes),
+    "g1_mood_distribution": on_tables(summaries.mood_distribution, cut=20),
+    "g1_mood_distribution_all": on_tables(summaries.mood_distribution),
+    "g2_energy_dance_matrix": on_tables(summaries.energy_dance_matrix, cut=20),
+    "g2_energy_dance_matrix_all": on_tables(summaries.energy_dance_matrix),
+    "g3_artist_tier_sizes": on_tables(summaries.artist_tier_sizes, cut=50),
+    "g3_artist_tier_sizes_all": on_tables(summaries.artist_tier_sizes),
     "g4_regional_moods": on_tables(summaries.regional_moods),
-    "g5_popularity_by_energy": on_tables(summaries.popularity_by_energy, "avg_popularity"),
+    "g5_popularity_by_energy": on_tables(
+        summaries.popularity_by_energy, "avg_popularity", cut=30
+    ),
+    "g5_popularity_by_energy_all": on_tables(summaries.popularity_by_energy, "avg_popularity"),
     "g6_popularity_by_danceability": on_tables(
+        summaries.popularity_by_danceability, "avg_popularity", cut=30
+    ),
+    "g6_popularity_by_danceability_all": on_tables(
         summaries.popularity_by_danceability, "avg_popularity"
     ),
     "g7_explicit_types": on_tables(summaries.explicit_types),
