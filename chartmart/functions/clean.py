@@ -12,11 +12,16 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 _MAX_DOUBLE = 1.7976931348623157e308
 
 # Tried in order; the first that parses wins. Brackets are alternatives: compact
-# and slashed days, and ISO years, months, days and times. Slashed dates are
-# month first, and day first only where the month would be impossible.
+# and slashed days, and ISO years, months, days and times; then slashed and dashed
+# days with a time or two-digit years, days with month names, and twelve-hour
+# times. Days with a numbered month are month first, and day first only where the
+# month would be impossible.
 DATE_PATTERNS: tuple[str, ...] = (
     "[yyyyMMdd][M/d/yyyy][yyyy/M/d][yyyy[-M[-d[['T'][ ]H:m[:s][.SSSSSSSSS]]]]]",
-    "d/M/yyyy",
+    "[M/d/yyyy H:m[:s]][M/d/yy[ H:m[:s]]][M-d-yyyy[ H:m[:s]]][yyyy-M-d h:m[:s] a]",
+    "[MMM d, yyyy][d MMM yyyy]",
+    "[MMMM d, yyyy][d MMMM yyyy]",
+    "[d/M/yyyy[ H:m[:s]]][d-M-yyyy[ H:m[:s]]][d/M/yy]",
 )
 
 # A time zone after a time does not move the day that is written.
@@ -24,7 +29,6 @@ _ZONE = r"(:[0-9.]+)\s*(Z|UTC|[+-]\d{2}:?\d{2})$"
 
 TRUE_WORDS = ("true", "1", "yes", "t")
 DEFAULT_COUNTRY = "GLOBAL"
-MAX_MOVEMENT = 1_000_000_000
 
 
 def clean_text(col: Column) -> Column:

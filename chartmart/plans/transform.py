@@ -13,23 +13,22 @@ from chartmart.functions.classify import feature_labels, mood_etl
 from chartmart.operators.rows import first_per
 from chartmart.sources.feed import SEQ
 
-INT_MAX = 2**31 - 1
-# The largest rank whose points fit decimal(10,2).
-MAX_RANK = 99_999_999
+# Whole numbers the parsed double still holds exactly, with room for the measures made of them.
+LARGEST = 10**14
 
 
 @dataclass(frozen=True)
 class Number:
-    """Range and default of a number column; ``whole`` drops the fraction."""
+    """Range and default of a number column; ``whole`` names the type that drops the fraction."""
 
     lo: float | None
     hi: float | None
     default: float | None
-    whole: bool = False
+    whole: str | None = None
 
     def __call__(self, number: Column) -> Column:
         kept = c.in_range(number, self.lo, self.hi, self.default)
-        return kept.cast("int") if self.whole else kept
+        return kept.cast(self.whole) if self.whole else kept
 
 
 Rule = Callable[[Column], Column]
@@ -39,20 +38,20 @@ FEED_RULES: Mapping[str, Rule] = {
     "spotify_id": lambda col: F.nullif(col, F.lit("")),
     "name": c.clean_text,
     "artists": c.clean_text,
-    "daily_rank": Number(1, MAX_RANK, None, whole=True),
-    "daily_movement": Number(-c.MAX_MOVEMENT, c.MAX_MOVEMENT, 0, whole=True),
-    "weekly_movement": Number(-c.MAX_MOVEMENT, c.MAX_MOVEMENT, 0, whole=True),
+    "daily_rank": Number(1, LARGEST, None, whole="bigint"),
+    "daily_movement": Number(-LARGEST, LARGEST, 0, whole="bigint"),
+    "weekly_movement": Number(-LARGEST, LARGEST, 0, whole="bigint"),
     # Null until facts are keyed: only then the default member stands in.
     "country": c.clean_text,
     "snapshot_date": c.clean_date,
-    "popularity": Number(0, 100, 50, whole=True),
+    "popularity": Number(0, 100, 50, whole="int"),
     "is_explicit": c.clean_boolean,
-    "duration_ms": Number(0, INT_MAX, 180_000, whole=True),
+    "duration_ms": Number(0, LARGEST, 180_000, whole="bigint"),
     "album_name": c.clean_text,
     "album_release_date": c.clean_date,
     "danceability": Number(0, 1, 0.5),
     "energy": Number(0, 1, 0.5),
-    "key": Number(0, 11, 0, whole=True),
+    "key": Number(0, 11, 0, whole="int"),
     "loudness": Number(-60, 0, -7),
     "mode": c.clean_mode,
     "speechiness": Number(0, 1, 0.05),
@@ -61,7 +60,7 @@ FEED_RULES: Mapping[str, Rule] = {
     "liveness": Number(0, 1, 0.1),
     "valence": Number(0, 1, 0.5),
     "tempo": Number(30, 250, 120),
-    "time_signature": Number(3, 7, 4, whole=True),
+    "time_signature": Number(3, 7, 4, whole="int"),
 }
 
 REQUIRED = ("spotify_id", "name", "snapshot_date")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = {
-    "dim_song": "song_key bigint, spotify_id string, song_name string, duration_ms int, "
+    "dim_song": "song_key bigint, spotify_id string, song_name string, duration_ms bigint, "
     "is_explicit boolean, created_at timestamp",
     "dim_artist": "artist_key bigint, artist_name string, created_at timestamp",
     "dim_album": "album_key bigint, album_name string, release_date date, release_year int, "
@@ -26,12 +26,12 @@ DIMENSIONS = {
 _GRAIN = "song_key bigint, date_key bigint, country_key bigint"
 _DAY = "snapshot_date date, snapshot_month date"
 FACTS = {
-    "fact_song_daily": f"{_GRAIN}, album_key bigint, daily_rank int, popularity_score int, "
-    f"rank_points decimal(10,2), performance_index decimal(10,2), {_DAY}",
-    "fact_artist_stats": f"artist_key bigint, {_GRAIN}, song_rank int, song_popularity int, "
-    f"artist_position int, artist_score decimal(10,2), contribution_weight decimal(5,2), {_DAY}",
-    "fact_chart_position": f"{_GRAIN}, current_rank int, previous_rank int, daily_movement int, "
-    "weekly_movement int, is_rising boolean, is_falling boolean, movement_magnitude int, "
+    "fact_song_daily": f"{_GRAIN}, album_key bigint, daily_rank bigint, popularity_score int, "
+    f"rank_points decimal(22,2), performance_index decimal(22,2), {_DAY}",
+    "fact_artist_stats": f"artist_key bigint, {_GRAIN}, song_rank bigint, song_popularity int, "
+    f"artist_position int, artist_score decimal(22,2), contribution_weight decimal(5,2), {_DAY}",
+    "fact_chart_position": f"{_GRAIN}, current_rank bigint, previous_rank bigint, daily_movement bigint, "
+    "weekly_movement bigint, is_rising boolean, is_falling boolean, movement_magnitude bigint, "
     f"trend_strength decimal(8,2), {_DAY}",
     "fact_audio_analysis": "song_key bigint, features_key bigint, danceability float, "
     "energy float, key_signature int, loudness float, mode int, speechiness float, "

@@ -32,8 +32,8 @@ def number(x: str, lo: float, hi: float, default: object) -> str:
     return f"CASE WHEN {value} BETWEEN {lo} AND {hi} THEN {value} ELSE {default} END"
 
 
-def whole(x: str, lo: float, hi: float, default: object) -> str:
-    return f"CAST(TRUNC({number(x, lo, hi, default)}) AS INTEGER)"
+def whole(x: str, lo: float, hi: float, default: object, kind: str = "INTEGER") -> str:
+    return f"CAST(TRUNC({number(x, lo, hi, default)}) AS {kind})"
 
 
 def day(x: str) -> str:
@@ -145,13 +145,13 @@ CTES = {
     "clean_all": f"""
         SELECT seq, NULLIF(spotify_id, '') AS spotify_id, {text('name')} AS name,
           {text('artists')} AS artists,
-          {whole('daily_rank', 1, 99999999, 'NULL')} AS daily_rank,
-          {whole('daily_movement', -1e9, 1e9, 0)} AS daily_movement,
-          {whole('weekly_movement', -1e9, 1e9, 0)} AS weekly_movement,
+          {whole('daily_rank', 1, 1e14, 'NULL', 'BIGINT')} AS daily_rank,
+          {whole('daily_movement', -1e14, 1e14, 0, 'BIGINT')} AS daily_movement,
+          {whole('weekly_movement', -1e14, 1e14, 0, 'BIGINT')} AS weekly_movement,
           {text('country')} AS country, {day('snapshot_date')} AS snapshot_date,
           {whole('popularity', 0, 100, 50)} AS popularity,
           COALESCE(LOWER(is_explicit) IN ('true', '1', 'yes', 't'), FALSE) AS is_explicit,
-          {whole('duration_ms', 0, 2147483647, 180000)} AS duration_ms,
+          {whole('duration_ms', 0, 1e14, 180000, 'BIGINT')} AS duration_ms,
           {text('album_name')} AS album_name, {day('album_release_date')} AS album_release_date,
           {number('danceability', 0, 1, 0.5)} AS danceability,
           {number('energy', 0, 1, 0.5)} AS energy, {whole('key', 0, 11, 0)} AS key,
@@ -177,7 +177,7 @@ CTES = {
           COALESCE(country, 'GLOBAL') AS country_key,
           {ALBUM_KEY.format(d='album_release_date')} AS album_key,
           {FEATURE_KEY} AS features_key, COALESCE(daily_rank, 100) AS rank,
-          CAST((101 - COALESCE(daily_rank, 100) + popularity) / 2.0 AS DECIMAL(10,2)) AS idx,
+          CAST((101 - COALESCE(daily_rank, 100) + popularity) / 2.0 AS DECIMAL(22,2)) AS idx,
           ABS(daily_movement) + ABS(weekly_movement) AS magnitude
         FROM labelled""",
     "chart_rows": """
@@ -234,13 +234,13 @@ CTES = {
         FROM labelled GROUP BY ALL""",
     "fact_song_daily": """
         SELECT song_key, date_key, country_key, album_key, rank AS daily_rank,
-          popularity AS popularity_score, CAST(101 - rank AS DECIMAL(10,2)) AS rank_points,
+          popularity AS popularity_score, CAST(101 - rank AS DECIMAL(22,2)) AS rank_points,
           idx AS performance_index, snapshot_date
         FROM chart_rows""",
     "fact_artist_stats": """
         SELECT artist_name AS artist_key, song_key, date_key, country_key, rank AS song_rank,
           popularity AS song_popularity, CAST(pos + 1 AS INTEGER) AS artist_position,
-          CAST(idx * CASE WHEN pos = 0 THEN 1.0 ELSE 0.7 END AS DECIMAL(10,2)) AS artist_score,
+          CAST(idx * CASE WHEN pos = 0 THEN 1.0 ELSE 0.7 END AS DECIMAL(22,2)) AS artist_score,
           CAST(CASE WHEN pos = 0 THEN 1.0 ELSE 0.5 END AS DECIMAL(5,2)) AS contribution_weight,
           snapshot_date
         FROM listed
@@ -249,11 +249,11 @@ CTES = {
     "fact_chart_position": """
         SELECT song_key, date_key, country_key, rank AS current_rank,
           CAST(CASE WHEN rank - daily_movement >= 1 THEN rank - daily_movement ELSE 100 END
-            AS INTEGER) AS previous_rank,
+            AS BIGINT) AS previous_rank,
           daily_movement, weekly_movement,
           daily_movement > 0 OR weekly_movement > 0 AS is_rising,
           daily_movement < 0 OR weekly_movement < 0 AS is_falling,
-          CAST(magnitude AS INTEGER) AS movement_magnitude,
+          CAST(magnitude AS BIGINT) AS movement_magnitude,
           CAST(LEAST(10.0, magnitude / 10.0) AS DECIMAL(8,2)) AS trend_strength, snapshot_date
         FROM chart_rows""",
     "fact_audio_analysis": """

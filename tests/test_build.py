@@ -178,3 +178,12 @@ def test_written_tables_equal_the_plans_and_pass_the_rules(spark, tmp_path):
         rules.reference_violations,
     ):
         assert check(written).agg(F.sum("violations")).first()[0] == 0
+
+
+def test_large_values_are_kept(spark):
+    row = {"daily_rank": "100000000", "daily_movement": "2000000000", "duration_ms": "5000000000"}
+    t = build_warehouse(feed(spark, row))
+    daily, moved = t["fact_song_daily"].first(), t["fact_chart_position"].first()
+    assert daily.daily_rank == 100_000_000 and float(daily.rank_points) == 101 - 100_000_000
+    assert moved.daily_movement == 2_000_000_000 and moved.movement_magnitude >= 2_000_000_000
+    assert t["dim_song"].first().duration_ms == 5_000_000_000

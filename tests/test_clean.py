@@ -50,6 +50,18 @@ def test_clean_date(values):
         "2023-10": dt.date(2023, 10, 1),
         "2023": dt.date(2023, 1, 1),
         "3/4/2023": dt.date(2023, 3, 4),
+        "10/18/2023 00:00": D,
+        "10/18/2023 12:30:00": D,
+        "18/10/2023 12:30": D,
+        "Oct 18, 2023": D,
+        "October 18, 2023": D,
+        "18 October 2023": D,
+        "18 Oct 2023": D,
+        "10-18-2023": D,
+        "18-10-2023": D,
+        "10/18/23": D,
+        "2023-10-18 9:05 PM": D,
+        "13/13/2023": None,
         "bad": None,
         "": None,
         "  ": None,
