@@ -438,10 +438,10 @@ _dim(
 
 @CHECKS.on_tables(
     "d4_dim_country",
-    "SELECT country_code, country_name FROM dim_country WHERE country_code <> 'GLOBAL'",
+    "SELECT country_code, country_name FROM dim_country",
 )
 def d4(t):
-    return dims.dim_country(t["clean"]).drop("country_key").filter("country_code <> 'GLOBAL'")
+    return dims.dim_country(t["clean"]).drop("country_key")
 
 
 @CHECKS.on_tables("d5_default_member", "SELECT country_code, country_name FROM dim_country")
