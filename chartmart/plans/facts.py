@@ -197,7 +197,9 @@ def fact_audio_analysis(keyed: DataFrame) -> DataFrame:
     """Features of each song as first seen; real numbers are stored as float32."""
     whole = ("key", "mode", "time_signature")
     first = first_per(
-        keyed.select("song_key", "features_key", *FEATURES, SEQ), ["song_key"], [SEQ]
+        keyed.select("song_key", "features_key", *FEATURES, "snapshot_date", SEQ),
+        ["song_key"],
+        [SEQ],
     )
     stored = [
         F.col(f).alias("key_signature" if f == "key" else f)
@@ -211,4 +213,5 @@ def fact_audio_analysis(keyed: DataFrame) -> DataFrame:
         *stored,
         m.energy_dance_score(F.col("energy"), F.col("danceability")).alias("energy_dance_score"),
         m.mood_score(F.col("valence"), F.col("energy")).alias("mood_score"),
+        F.col("snapshot_date").cast("timestamp").alias("created_at"),
     )

@@ -72,6 +72,7 @@ def _cells(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
         for c in FEED_COLUMNS
     ]
     place = [
+        F.col("_metadata.file_modification_time").alias("arrived"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
     ]
@@ -83,8 +84,10 @@ def _cells(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
 def with_input_order(cells: DataFrame) -> DataFrame:
     """Turns the place of each row into the input order ``_seq``.
 
-    Row ids only order rows inside one split; file and split offset order the
-    splits. So the order does not depend on how splits are spread over tasks.
+    Files count in order of arrival, those of one moment by path. Row ids only
+    order rows inside one split; file and split offset order the splits. So the
+    order depends neither on how splits are spread over tasks nor on how many
+    files a batch takes.
     """
     order = F.struct(f"{PLACE}.*", F.monotonically_increasing_id().alias("row"))
     return cells.withColumn(SEQ, order).drop(PLACE)
@@ -118,7 +121,7 @@ def stream_feed(
     path: str,
     columns: Sequence[str] = FEED_COLUMNS,
     null_tokens: Sequence[str] = ("",),
-    max_files: int = 1,
+    max_files: int = 200,
     multi_line: bool = True,
 ) -> DataFrame:
     """The same as a stream over arriving files; ``columns`` is their header order.

@@ -36,7 +36,7 @@ FACTS = {
     "fact_audio_analysis": "song_key bigint, features_key bigint, danceability float, "
     "energy float, key_signature int, loudness float, mode int, speechiness float, "
     "acousticness float, instrumentalness float, liveness float, valence float, tempo float, "
-    "time_signature int, energy_dance_score float, mood_score float",
+    "time_signature int, energy_dance_score float, mood_score float, created_at timestamp",
     "fact_streaming_metrics": f"{_GRAIN}, estimated_streams bigint, estimated_listeners bigint, "
     "avg_completion_rate decimal(5,2), engagement_score decimal(10,2), "
     f"viral_coefficient decimal(8,2), {_DAY}",

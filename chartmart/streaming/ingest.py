@@ -63,11 +63,12 @@ def start_ingest(
     checkpoint: str,
     columns: Sequence[str] = FEED_COLUMNS,
     null_tokens: Sequence[str] = ("",),
-    max_files: int = 1,
+    max_files: int = 200,
 ) -> StreamingQuery:
     """Loads the files that have arrived in ``in_dir`` since the last run, then stops.
 
-    Files are taken in order of arrival, ``max_files`` per batch.
+    Files are taken in order of arrival, ``max_files`` per batch; how many does not
+    change the tables.
     """
     create_missing(spark, path)
 

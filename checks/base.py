@@ -264,7 +264,8 @@ CTES = {
           CAST(instrumentalness AS REAL) AS instrumentalness, CAST(liveness AS REAL) AS liveness,
           CAST(valence AS REAL) AS valence, CAST(tempo AS REAL) AS tempo, time_signature,
           CAST((energy + danceability) / 2 AS REAL) AS energy_dance_score,
-          CAST(valence * 0.6::DOUBLE + energy * 0.4::DOUBLE AS REAL) AS mood_score
+          CAST(valence * 0.6::DOUBLE + energy * 0.4::DOUBLE AS REAL) AS mood_score,
+          snapshot_date AS created_at
         FROM keyed
         QUALIFY ROW_NUMBER() OVER (PARTITION BY song_key ORDER BY seq) = 1""",
     "fact_streaming_metrics": """

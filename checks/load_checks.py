@@ -521,12 +521,13 @@ def f3(t):
           tempo_category, acousticness_level, key_signature, mode, time_signature,
           {_reals('danceability', 'energy', 'loudness', 'speechiness', 'acousticness',
                   'instrumentalness', 'liveness', 'valence', 'tempo', 'energy_dance_score',
-                  'mood_score')}
+                  'mood_score')}, fact_audio_analysis.created_at
         FROM fact_audio_analysis JOIN dim_audio_features USING (features_key)""",
 )
 def f4(t):
     built = facts.fact_audio_analysis(facts.resolve_keys(t["clean"]))
     labels = t["dim_audio_features"].drop("created_at")
+    built = built.withColumn("created_at", F.col("created_at").cast("date"))
     return natural(built.join(labels, "features_key").drop("features_key"), t)
 
 

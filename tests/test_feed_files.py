@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,22 @@ def test_null_tokens(spark, tmp_path):
     assert (lost.name, lost.country) == (None, None)
 
 
+@pytest.mark.parametrize("max_files", [1, 2, 1000])
+def test_order_of_arrival_not_of_names_decides(spark, tmp_path, max_files):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for at, (name, popularity) in enumerate([("z", "11"), ("a", "22"), ("m", "33")]):
+        write_csv(feed / f"{name}.csv", [{"popularity": popularity}])
+        os.utime(feed / f"{name}.csv", (1_000_000 + at * 10, 1_000_000 + at * 10))
+    built = build_warehouse(read_feed(spark, str(feed)))
+    assert bag(built["fact_song_daily"], "popularity_score") == [(11,)]
+    path = str(tmp_path / "tables")
+    start_ingest(
+        spark, str(feed), path, str(tmp_path / "ckpt"), max_files=max_files
+    ).awaitTermination()
+    assert bag(read_table(spark, path, "fact_song_daily"), "popularity_score") == [(11,)]
+
+
 def test_input_order_over_files(spark, tmp_path):
     write_csv(tmp_path / "a.csv", [{"popularity": "1"}, {"popularity": "2"}])
     write_csv(tmp_path / "b.csv", [{"popularity": "3"}])
