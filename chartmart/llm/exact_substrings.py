@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartmart.llm.common import settle
+
 LENGTH = 200
 GRAM = 32
 SHARE = 100_000  # occurrences of one gram that are sorted together
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 1_500_000  # a block's arrays stay in the processor's cache
 
 _GRAMS = LENGTH - GRAM + 1  # grams in a window
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -57,15 +59,17 @@ def gram_hashes(b: np.ndarray) -> np.ndarray:
 
 
 def _least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost least value in each window, by doubling."""
-    least, place, span = h, np.arange(len(h)), 1
+    """Place of the leftmost least value (of its high half) in each window, by doubling.
+
+    Value and place share a word, so a plain minimum finds both.
+    """
+    low = np.uint64(0xFFFFFFFF)
+    least, span = (h & ~low) | np.arange(len(h), dtype=np.uint64), 1
     while span < width:
         step = min(span, width - span)
-        right = least[step:] < least[:-step]
-        place = np.where(right, place[step:], place[:-step])
-        least = np.where(right, least[step:], least[:-step])
+        least = np.minimum(least[:-step], least[step:])
         span += step
-    return place
+    return (least & low).astype(np.int64)
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -375,12 +379,14 @@ def removed(docs: DataFrame) -> DataFrame:
     shares = F.least(F.ceil(F.col("n") / SHARE), F.lit(1 << _SHARE_BITS)) - 1
     shift = 31 + _BACK_BITS + _COUNT_BITS
     shared = shared.select("gram", F.shiftleft(shares.cast("long"), shift).alias("shares"))
+    # Written, so that Spark can split the occurrences of a frequent gram in the join.
+    shared = settle(shared, "grams")
     near = found.join(shared.hint("merge"), "gram").select(
         "rid", F.col("packed").bitwiseOR(F.col("shares")).alias("packed")
     )
     near = near.groupBy("rid").agg(F.collect_list("packed").alias("anchors"))
-    around = rows.join(near.hint("merge"), "rid").select("rid", "text", "anchors")
-    around = around.mapInArrow(_contexts, _CONTEXT)
+    # All columns stay, also doc_id: a narrower relation would be moved on its own.
+    around = rows.join(near.hint("merge"), "rid").mapInArrow(_contexts, _CONTEXT)
     buckets = around.repartition(parts, "gram", "share").sortWithinPartitions("gram", "share")
     runs = buckets.mapInArrow(_sort_buckets, _FOUND)
     runs = runs.repartition(parts, "key").sortWithinPartitions("open", "key")
