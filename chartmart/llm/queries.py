@@ -112,6 +112,26 @@ QUERIES = {
 
 # Words: [^\x20\x09-\x0D]+. Windows are compared as texts, capitals and letters by Unicode class.
 ORACLE = {
+    "op8_near_duplicates": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d
+    WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS root FROM d
+  UNION SELECT l.b, r.root FROM r JOIN l ON r.node = l.a),
+m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.root AS component_id,
+  d.doc_id = m.root AS kept
+FROM d JOIN m ON m.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op3_quality_rules": r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
