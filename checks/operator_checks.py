@@ -16,7 +16,6 @@ from chartmart.operators.quality import describe_tables, find_columns
 from chartmart.operators.rows import (
     down,
     first_per,
-    ranked_in_group,
     recent,
     top_k,
     top_k_per,
@@ -31,6 +30,7 @@ from checks.base import wide
 from checks.files import fresh_dir, write_feed_csv
 from checks.load_checks import natural
 from checks.pairs import Pairs
+from checks.ranking import ranked_in_group
 from checks.warehouse import warehouse
 
 CHECKS = Pairs()

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmart.operators.rows import ranked_in_group
 from chartmart.sources.feed import FEED_COLUMNS, SEQ
+from checks.ranking import ranked_in_group
 
 # Fixed values of the derivation.
 FIRST_DAY = "1995-01-01"

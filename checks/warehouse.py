@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType, FloatType
 
 from chartmart.plans.warehouse import OnDemandWarehouse
 from chartmart.session import shared_dir
-from chartmart.sources.trade_feed import chart_feed
+from checks.trade_feed import chart_feed
 
 _OPEN: dict[tuple[str, str], OnDemandWarehouse] = {}
 

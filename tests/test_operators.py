@@ -13,7 +13,8 @@ from chartmart.operators.append import append_new
 from chartmart.operators.fan import fan_join_agg, with_members, FAN
 from chartmart.operators.joins import drop_keys, lookup
 from chartmart.operators.quality import check_fk, check_rules, check_unique
-from chartmart.operators.rows import down, first_per, ranked_in_group, top_k, top_k_per
+from chartmart.operators.rows import down, first_per, top_k, top_k_per
+from checks.ranking import ranked_in_group
 
 
 def bag(df):
