@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -40,14 +41,34 @@ def check_fk(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return used.join(dim.select(key), key, "left_anti")
 
 
-def describe_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table column: position, type, whether nulls occur, filled and total rows."""
+LISTING = (
+    "table_name string, position int, column_name string, data_type string, has_nulls boolean, "
+    "filled_rows bigint, total_rows bigint"
+)
 
-    def listing(name: str, df: DataFrame) -> DataFrame:
-        fields = df.schema.fields
+
+def _like(name: str, pattern: str) -> bool:
+    """SQL LIKE without escapes."""
+    parts = {"%": ".*", "_": "."}
+    return bool(re.fullmatch("".join(parts.get(c, re.escape(c)) for c in pattern), name, re.S))
+
+
+def describe_tables(
+    tables: Mapping[str, DataFrame],
+    table_like: str = "%",
+    column_like: str = "%",
+    counted: bool = True,
+) -> DataFrame:
+    """One row per table column: position, type, whether nulls occur, filled and total rows.
+
+    Tables and columns are chosen by LIKE patterns from the schemas, so only chosen columns are
+    scanned; without ``counted`` none is, and the last three values are null.
+    """
+
+    def listing(name: str, df: DataFrame, fields: list) -> DataFrame:
         counts = df.agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)],
+            *[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in fields],
         )
         entries = F.array(
             *[
@@ -60,18 +81,30 @@ def describe_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
                     F.col(f"_c{i}").alias("filled_rows"),
                     F.col("_rows").alias("total_rows"),
                 )
-                for i, f in enumerate(fields)
+                for i, f in fields
             ]
         )
         return counts.select(F.inline(entries))
 
-    return reduce(DataFrame.unionByName, [listing(n, df) for n, df in tables.items()])
+    spark = next(iter(tables.values())).sparkSession
+    chosen = {}
+    for name in tables:
+        if _like(name, table_like):
+            fields = [x for x in enumerate(tables[name].schema.fields) if _like(x[1].name, column_like)]
+            if fields:
+                chosen[name] = fields
+    if not counted or not chosen:
+        rows = [
+            (name, i + 1, f.name, f.dataType.simpleString(), None, None, None)
+            for name, fields in chosen.items()
+            for i, f in fields
+        ]
+        return spark.createDataFrame(rows, LISTING)
+    return reduce(DataFrame.unionByName, [listing(n, tables[n], x) for n, x in chosen.items()])
 
 
 def find_columns(
-    listing: DataFrame, table_like: str = "%", column_like: str = "%"
+    tables: Mapping[str, DataFrame], table_like: str = "%", column_like: str = "%"
 ) -> DataFrame:
-    """Rows of a column listing whose table and column names match LIKE patterns."""
-    return listing.filter(
-        F.col("table_name").like(table_like) & F.col("column_name").like(column_like)
-    )
+    """The listing of columns whose table and column names match; only those are scanned."""
+    return describe_tables(tables, table_like, column_like)

@@ -806,5 +806,5 @@ def v5(t):
         WHERE table_name LIKE '%song%' AND column_name LIKE '%rank%'""",
 )
 def v6(t):
-    found = find_columns(describe_tables(t), "%song%", "%rank%")
+    found = find_columns(t, "%song%", "%rank%")
     return found.select("table_name", "column_name", "data_type", "filled_rows")
