@@ -205,8 +205,14 @@ def nodes(text: str) -> Nodes:
 def evidence(spans: list[tuple[int, int]], base: list[Span]) -> np.ndarray:
     """Kind of the pattern span that covers most of each word, -1 where there is none."""
     out = np.full(len(spans), -1, np.int64)
+    if not base or not spans:
+        return out
+    starts = np.array([a for a, _ in spans])
+    ends = np.array([b for _, b in spans])
     for kind, start, end in base:
-        for i, (a, b) in enumerate(spans):
+        first, last = np.searchsorted(ends, start, "right"), np.searchsorted(starts, end, "left")
+        for i in range(first, last):
+            a, b = spans[i]
             if 2 * (min(b, end) - max(a, start)) > b - a:
                 out[i] = kind
     return out
@@ -391,7 +397,7 @@ def spans_of(texts: list[str], model: Field) -> list[tuple[list[Span], list[Span
         base = base_spans(text)
         out.append((base, base))
         part = nodes(text)
-        known = evidence_by_place(part.spans, base)
+        known = evidence(part.spans, base)
         # Without an entity to repeat or words of its own, a document has nothing to infer.
         if part.spans and (known < 0).any():
             waiting.append((k, part, known))
@@ -403,22 +409,6 @@ def spans_of(texts: list[str], model: Field) -> list[tuple[list[Span], list[Span
     return out
 
 
-def evidence_by_place(spans: list[tuple[int, int]], base: list[Span]) -> np.ndarray:
-    """As ``evidence``, in time proportional to words and spans: only neighbours are compared."""
-    out = np.full(len(spans), -1, np.int64)
-    if not base or not spans:
-        return out
-    starts = np.array([a for a, _ in spans])
-    ends = np.array([b for _, b in spans])
-    for kind, start, end in base:
-        first, last = np.searchsorted(ends, start, "right"), np.searchsorted(starts, end, "left")
-        for i in range(first, last):
-            a, b = spans[i]
-            if 2 * (min(b, end) - max(a, start)) > b - a:
-                out[i] = kind
-    return out
-
-
 def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
 
