@@ -132,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [counts(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+            rows = [counts(t).tobytes() for t in batch.column("text").to_pylist()]
             names = ["doc_id", "quality", "terms"]
             columns = [batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -142,8 +142,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # Bounded by LABELLED; a doc_id that repeats is taken once.
     found = {r["doc_id"]: r for r in texts.mapInArrow(count, schema).limit(2 * LABELLED).collect()}
     rows = [found[k] for k in sorted(found)]
-    matrix = np.frombuffer(b"".join(r["terms"] for r in rows), np.float16).reshape(-1, TERMS)
-    return fit(matrix.astype(np.float32), np.array([float(r["quality"]) for r in rows]))
+    matrix = np.frombuffer(b"".join(r["terms"] for r in rows), np.float32).reshape(-1, TERMS)
+    return fit(matrix, np.array([float(r["quality"]) for r in rows]))
 
 
 SCHEMA = "doc_id long, score double"

@@ -44,6 +44,16 @@ def test_labels_of_the_fold_are_never_learnt(spark):
     assert a == {r["doc_id"]: r["score"] for r in q.classified(docs, kept).collect()}
 
 
+def test_a_long_run_of_one_character_leaves_the_model_finite(spark):
+    docs, labels, truth = data(spark, 80)
+    docs = docs.union(spark.createDataFrame([(1000, "=" * 100_000)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(1000, 0, 0)], labels.schema))
+    model = q.train(docs, labels)
+    assert np.isfinite(model.axes).all() and np.isfinite(model.vectors).all()
+    scores = {r["doc_id"]: r["score"] for r in q.scored(docs, model).collect()}
+    assert np.mean([(scores[i] >= q.THRESHOLD) == y for i, y in truth.items()]) >= 0.95
+
+
 def test_votes_match_brute_force():
     rng = np.random.default_rng(1)
     rows = np.array([q.counts(" ".join(prose(i, 40))) for i in range(60)])
