@@ -2,7 +2,8 @@
 
 Patterns find complete e-mail addresses, network addresses, card and phone numbers. The field labels
 the words of a document that hold a digit or an at sign: neighbours in the text are joined by chain
-factors, distant words with the same digits, address or name part by skip factors, so a shortened
+factors, distant words with the same digits, address or name part by skip factors, each with the one
+before and with the nearest one inside a pattern span (else the first one), so any shortened
 repeat ("555-0123" after "+1 (743) 555-0123") takes the label of the full mention. Words inside
 pattern spans are evidence. Loopy sum-product message passing gives posteriors; words above
 ``MIN_POSTERIOR`` become further spans, next to the pattern spans, which always stay.
@@ -176,9 +177,10 @@ def _keys(word: str, digits: str) -> list[str]:
     return keys
 
 
-def nodes(text: str) -> Nodes:
+def nodes(text: str, base: list[Span] | None = None) -> Nodes:
+    """The nodes of a text; ``base``: its pattern spans, whose words are joined to all their repeats."""
     found = Nodes([], [], [], [])
-    last: dict[str, int] = {}
+    mentions: dict[str, list[int]] = {}
     words = _words_of(text) if _ANY.search(text) else []
     digit_classes = []
     for i, (start, _, a, b) in enumerate(words):
@@ -190,9 +192,22 @@ def nodes(text: str) -> Nodes:
         if i and start - words[i - 1][1] <= 2 and not text[words[i - 1][1] : start].strip(" "):
             found.chain.append((i - 1, i))
         for key in _keys(word, digits):
-            if key in last:
-                found.skip.append((last[key], i))
-            last[key] = i
+            mentions.setdefault(key, []).append(i)
+    known = evidence(found.spans, base or [])
+    skip: dict[tuple[int, int], None] = {}
+    for same in mentions.values():
+        sure = [i for i in same if known[i] >= 0]
+        at = 0  # evidence so far
+        for before, i in zip(same, same[1:]):
+            skip[before, i] = None
+        for i in same:
+            if sure and sure[at : at + 1] == [i]:
+                at += 1
+            else:
+                hub = sure[max(at - 1, 0)] if sure else same[0]
+                if hub != i:
+                    skip[min(hub, i), max(hub, i)] = None
+    found.skip += skip
     base = len(_FLAGS)
     for i, j in found.chain:
         found.features[j] += [_FLAG["prev"], base + _N_DIGITS + digit_classes[i]]
@@ -310,7 +325,7 @@ def fit(texts: list[str], steps: int = 250, rate: float = 0.1, decay: float = 1e
     parts, gold = [], []
     for text in texts:
         long, base, truth = training_text(text, rng)
-        part = nodes(long)
+        part = nodes(long, base)
         if not part.spans:
             continue
         labels = evidence(part.spans, [*truth, *base])
@@ -396,7 +411,7 @@ def spans_of(texts: list[str], model: Field) -> list[tuple[list[Span], list[Span
     for k, text in enumerate(texts):
         base = base_spans(text)
         out.append((base, base))
-        part = nodes(text)
+        part = nodes(text, base)
         known = evidence(part.spans, base)
         # Without an entity to repeat or words of its own, a document has nothing to infer.
         if part.spans and (known < 0).any():

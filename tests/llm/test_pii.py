@@ -63,6 +63,22 @@ def test_shortened_repeats_are_found_and_others_left():
     assert pii.spans_of(["Nothing here. It is 1999, page 12."], model)[0][1] == []
 
 
+def test_all_repeats_of_one_mention_are_found():
+    texts = [
+        f"Call +1 (7{i:02d}) 555-38{i:02d} today or write k.fslg{i}@mail{i}.example.com in {1990 + i}."
+        for i in range(10, 90)
+    ]
+    # Repeats of numbers that belong to nobody: a word is not personal for being repeated.
+    texts += [" ".join([f"Lot 5{i}1-38{i} of {1900 + i}."] * 4) for i in range(10, 90)]
+    model = pii.fit(texts)
+    full, repeats = "+1 (743) 555-0123", [f"then 555-0123 and lot 555-99{k}." for k in range(10, 40)]
+    for at in (0, 15, 30):
+        text = " ".join([*repeats[:at], f"She has {full} now.", *repeats[at:]])
+        base, every = pii.spans_of([text], model)[0]
+        added = [text[a:b] for k, a, b in every if (k, a, b) not in base]
+        assert added == ["555-0123"] * 30
+
+
 def test_query_columns_and_odd_rows(clash, odd_rows, empty):
     rows = pii.find(clash).collect()
     assert len(rows) == len(odd_rows)
