@@ -8,8 +8,9 @@ repeat ("555-0123" after "+1 (743) 555-0123") takes the label of the full mentio
 pattern spans are evidence. Loopy sum-product message passing gives posteriors; words above
 ``MIN_POSTERIOR`` become further spans, next to the pattern spans, which always stay.
 
-The weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` documents that hold a digit or
-an at sign, labelled by the patterns, with shortened repeats of found entities and unrelated numbers
+The weights are fitted by pseudo-likelihood on at most ``TRAIN_DOCS`` texts that hold a digit or an at
+sign: of all documents, those of least hash with a match of each kind, and the rest without any match.
+They are labelled by the patterns, with shortened repeats of found entities and unrelated numbers
 of the same shapes put behind them.
 
 Defined cases: null and empty texts have no spans; equal texts have equal spans; texts of any length
@@ -30,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartmart.llm.common import settle
+
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)  # label of words that belong to no entity
 LABELS = len(KINDS) + 1
 
 TRAIN_DOCS = 2000
-TRAIN_CHARS = 20_000  # longer documents are not trained on
+TRAIN_CHARS = 20_000  # of longer documents the surroundings of a match of each kind are trained on
 MIN_POSTERIOR = 0.9
 SWEEPS, DAMPING = 8, 0.3
 NODES_AT_ONCE = 50_000
@@ -428,12 +431,66 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for kind, start, end in spans)
 
 
+def _kind_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, hash) of the texts of least hash with a pattern span of each kind, and of those without."""
+    least = [np.zeros(0, np.int64)] * LABELS
+    for batch in batches:
+        found: list[list[int]] = [[] for _ in range(LABELS)]
+        for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist(), strict=True):
+            for kind in {k for k, _, _ in base_spans(text)} or {OTHER}:
+                found[kind].append(h)
+        for kind, new in enumerate(found):
+            least[kind] = np.union1d(least[kind], np.array(new, np.int64))[:TRAIN_DOCS]
+    kinds = np.repeat(np.arange(LABELS), [len(x) for x in least])
+    yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(np.concatenate(least))], ["kind", "h"])
+
+
+def excerpt(text: str) -> str:
+    """A text of at most ``TRAIN_CHARS``: of a longer one, what lies around a match of each kind."""
+    if len(text) <= TRAIN_CHARS:
+        return text
+    first: dict[int, tuple[int, int]] = {}
+    for kind, start, end in base_spans(text):
+        if end - start <= TRAIN_CHARS // LABELS // 2:
+            first.setdefault(kind, (start, end))
+    if not first:
+        found = _ANY.search(text)
+        first[OTHER] = found.span() if found else (0, 0)
+    room = TRAIN_CHARS // len(first)
+    parts, done = [], 0
+    for start, end in sorted(first.values()):
+        a = max(done, start - (room - (end - start)) // 2)
+        done = max(done, min(len(text), a + room))
+        parts.append(text[a:done])
+    return " ".join(parts)
+
+
+def _excerpt_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pa.array([excerpt(t) for t in batch.column("text").to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("h"), texts], ["h", "text"])
+
+
+def training_texts(docs: DataFrame) -> list[str]:
+    """The bounded sample that the field is fitted on; equal documents give equal samples, in any order."""
+    rows = docs.select("text").where(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text"))
+    # At most LABELS * TRAIN_DOCS numbers of each task.
+    kinds = settle(rows.mapInArrow(_kind_rows, "kind long, h long"), "kinds")
+    chosen: set[int] = set()
+    for kind in range(LABELS):
+        room = TRAIN_DOCS // LABELS if kind < OTHER else TRAIN_DOCS - len(chosen)
+        own = kinds.where(F.col("kind") == kind).select("h").distinct()
+        chosen |= {r["h"] for r in own.orderBy("h").limit(room).collect()}
+    if not chosen:
+        return []
+    texts = rows.where(F.col("h").isin(sorted(chosen))).mapInArrow(_excerpt_rows, "h long, text string")
+    texts = texts.groupBy("h").agg(F.min("text").alias("text"))
+    return [r["text"] for r in sorted(texts.collect(), key=lambda r: r["h"])]
+
+
 def train(docs: DataFrame) -> Field:
     """Fits the field on a bounded sample of documents with digits or at signs."""
-    rows = docs.select("text").where(
-        F.col("text").rlike("[0-9@]") & (F.char_length("text") <= TRAIN_CHARS)
-    )
-    return fit([r["text"] for r in rows.limit(TRAIN_DOCS).collect()])
+    return fit(training_texts(docs))
 
 
 SCHEMA = (

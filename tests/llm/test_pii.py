@@ -79,6 +79,18 @@ def test_all_repeats_of_one_mention_are_found():
         assert added == ["555-0123"] * 30
 
 
+def test_rare_and_late_kinds_are_in_the_sample(spark):
+    rows = [(i, f"Item {i} of {i * 7919}.") for i in range(3000)]
+    rows += [(5000, "Write to a.b@mail.example.com now."), (5001, "Call +1 (743) 555-0123 now.")]
+    rows += [(5002, "word " * 6000 + "host 10.20.30.40 " + "word " * 6000), (5003, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = pii.training_texts(docs.coalesce(1))
+    assert len(texts) == len(set(texts)) == pii.TRAIN_DOCS
+    assert {k for t in texts for k, _, _ in pii.base_spans(t)} == {0, 1, 3}
+    assert max(map(len, texts)) <= pii.TRAIN_CHARS
+    assert texts == pii.training_texts(docs.repartition(7).orderBy("doc_id", ascending=False))
+
+
 def test_query_columns_and_odd_rows(clash, odd_rows, empty):
     rows = pii.find(clash).collect()
     assert len(rows) == len(odd_rows)
