@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -131,11 +132,11 @@ def _forest(classes: DataFrame) -> DataFrame:
 _PAIR = "a long, b long"
 
 
-def _similar_size(n: int, m: int) -> bool:
-    return 100 * min(n, m) >= LINK_PERCENT * max(n, m)
+def _similar_size(n: int, m: int, percent: int) -> bool:
+    return 100 * min(n, m) >= percent * max(n, m)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of each row with the last few rows of its tree that share enough of the prefix."""
     near: deque = deque(maxlen=NEIGHBOURS)
     for batch in batches:
@@ -144,7 +145,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tree, key, doc, n in zip(*columns, strict=True):
             prefix = key[: 4 * LEAST_DEPTH]
             for other_tree, other_prefix, other, m in near:
-                if other_tree == tree and other_prefix == prefix and _similar_size(n, m):
+                if other_tree == tree and other_prefix == prefix and _similar_size(n, m, percent):
                     left.append(min(doc, other))
                     right.append(max(doc, other))
             near.append((tree, prefix, doc, n))
@@ -153,7 +154,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
 
-def _pivots(trees: DataFrame) -> DataFrame:
+def _pivots(trees: DataFrame, percent: int) -> DataFrame:
     """Pairs of each class with the pivot of its regions."""
     leaves = trees.groupBy("tree", "key").agg(F.count("*").alias("size"))
     shared = leaves.where("size > 1")
@@ -167,27 +168,28 @@ def _pivots(trees: DataFrame) -> DataFrame:
         top = top.where("size > 1").select("tree", "key", (-F.col("top.doc")).alias("pivot"), "top.m")
         pairs = part.join(top, ["tree", "key"]).where("doc <> pivot")
         low, high = F.least("n", "m"), F.greatest("n", "m")
-        pairs = pairs.where(100 * low >= LINK_PERCENT * high)
+        pairs = pairs.where(100 * low >= percent * high)
         pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
         out = pairs if out is None else out.union(pairs)
     return out
 
 
-def candidates(classes: DataFrame) -> DataFrame:
+def candidates(classes: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """Distinct pairs (a, b) of classes (doc, n, signature) that the forest brings together."""
     trees = _forest(classes)
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = trees.repartitionByRange(parts, "tree", "key", "doc")
     ordered = ordered.sortWithinPartitions("tree", "key", "doc")
-    pairs = ordered.mapInArrow(_neighbours, _PAIR).union(_pivots(trees)).distinct()
+    pairs = ordered.mapInArrow(partial(_neighbours, percent=percent), _PAIR)
+    pairs = pairs.union(_pivots(trees, percent)).distinct()
     s = classes.select("doc", "sketch")
     pairs = pairs.join(s.withColumnsRenamed({"doc": "a", "sketch": "sa"}), "a")
     pairs = pairs.join(s.withColumnsRenamed({"doc": "b", "sketch": "sb"}), "b")
-    return pairs.mapInArrow(_plausible, _PAIR)
+    return pairs.mapInArrow(partial(_plausible, percent=percent), _PAIR)
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    share = LINK_PERCENT / 100
+def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    share = percent / 100
     n = TREES * DEPTH
     least = n * (share - MARGIN * (share * (1 - share) / n) ** 0.5)
     for batch in batches:
@@ -203,7 +205,7 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole shingle sets are similar enough; repeated neighbours are hashed once."""
     last: tuple[int | None, np.ndarray | None] = (None, None)
     for batch in batches:
@@ -214,23 +216,24 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last = (a, shingle_set(text_a))
             one, other = last[1], shingle_set(text_b)
             both = len(np.intersect1d(one, other, assume_unique=True))
-            if 100 * both >= LINK_PERCENT * (len(one) + len(other) - both):
+            if 100 * both >= percent * (len(one) + len(other) - both):
                 left.append(a)
                 right.append(b)
         arrays = [pa.array(left, pa.int64()), pa.array(right, pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """The pairs that hold the threshold on whole texts."""
     texts = docs.select("doc_id", "text")
     a = texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"})
     b = texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"})
-    return pairs.join(b, "b").join(a, "a").mapInArrow(_confirm, _PAIR)
+    both = pairs.join(b, "b").join(a, "a")
+    return both.mapInArrow(partial(_confirm, percent=percent), _PAIR)
 
 
-def classified(docs: DataFrame) -> DataFrame:
-    """Every row's (doc_id, n_shingles, component_id)."""
+def classified(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
+    """Every row's (doc_id, n_shingles, component_id); links need ``percent`` of equal shingles."""
     rows = settle(signed(docs), "signed")
     sets = rows.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = sets.groupBy("set_id").agg(
@@ -240,11 +243,11 @@ def classified(docs: DataFrame) -> DataFrame:
         F.first("sketch").alias("sketch"),
     )
     classes = settle(classes, "classes")
-    pairs = settle(candidates(classes), "candidates")
+    pairs = settle(candidates(classes, percent), "candidates")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     # The ids grow with the documents, so they are never broadcast, also where they would fit.
     one = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
-    links = confirmed(pairs, one)
+    links = confirmed(pairs, one, percent)
     roots = components(links)
     of_class = classes.join(roots, classes["doc"] == roots["node"], "left").select(
         "set_id", F.coalesce("root", "doc").alias("component_id")
@@ -254,11 +257,11 @@ def classified(docs: DataFrame) -> DataFrame:
     )
 
 
-def kept(docs: DataFrame) -> DataFrame:
+def kept(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """One document of each component: the first one, with the input's columns.
 
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
-    stays = classified(docs).where("doc_id = component_id").select("doc_id").distinct()
+    stays = classified(docs, percent).where("doc_id = component_id").select("doc_id").distinct()
     first = docs.join(stays.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return first.select(*docs.columns).union(docs.where("doc_id IS NULL"))

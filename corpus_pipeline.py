@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from chartmart.llm import mixing, near_duplicates, packing, quality_rules, secrets
 from chartmart.llm.common import documents, settle
 
+DEDUP_PERCENT = 80  # of equal shingles; op8_near_duplicates has its own threshold
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
@@ -20,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each component of near-duplicates."""
-    return near_duplicates.kept(docs)
+    return near_duplicates.kept(docs, DEDUP_PERCENT)
 
 
 def scrub(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

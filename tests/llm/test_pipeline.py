@@ -3,6 +3,7 @@ from __future__ import annotations
 import corpus_pipeline
 from chartmart.llm import mixing, near_duplicates, quality_rules, secrets
 from chartmart.llm.common import documents, settle
+from tests.llm.conftest import prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,6 +35,15 @@ def test_run_is_the_stages(spark):
     }
 
 
+def test_dedup_takes_near_copies_of_similarity_080(spark):
+    # Two edits in 120 words spoil 10 of 116 shingles: 106 / 126 is 0.841, under the 0.85 of op8.
+    words = prose(3, 120)
+    changed = [f"new{i}" if i in (40, 80) else w for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed))], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.dedup(spark, docs, SF).collect()] == [1]
+    assert {r["component_id"] for r in near_duplicates.classified(docs).collect()} == {1, 2}
+
+
 def test_no_rows(empty, spark):
     docs = empty
     for _, stage in corpus_pipeline.STAGES:
