@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.llm import (
+    chat_format,
     exact_substrings,
     fingerprints,
     fuzzy_passages,
     mixing,
     near_duplicates,
     packing,
+    periodic_runs,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     secrets,
@@ -20,6 +23,11 @@ from chartmart.llm import (
 from chartmart.llm.common import documents
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return table.select("conv_id", "turn", "role", "text")
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: pattern counts and digest, and all spans."""
     return pii.find(documents(spark, sf_dir))
@@ -97,6 +105,31 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as read back from its formatted text, and one full of control strings."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    added = F.inline(
+        F.array(
+            *(
+                F.struct(F.lit(-1).cast("long"), F.lit(i).cast("long"), F.lit(role), F.lit(said))
+                for i, role in enumerate(("user", "assistant"))
+            )
+        )
+    )
+    one = spark.range(1).select(added.alias("conv_id", "turn", "role", "text"))
+    return chat_format.round_trip(conversations(spark, sf_dir).union(one))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, a stretch of every tenth one repeated first."""
+    return periodic_runs.collapsed(documents(spark, sf_dir), periodic_runs.looped)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(conversations(spark, sf_dir))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_fuzzy_passages": op2_fuzzy_passages,
@@ -108,6 +141,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_packing": op9_packing,
     "op10_fingerprints": op10_fingerprints,
+    "op11_chat_format": op11_chat_format,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 # Words: [^\x20\x09-\x0D]+. Windows are compared as texts, capitals and letters by Unicode class.
@@ -159,4 +195,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     OR 100 * n_dup_lines > 60 * n_lines OR 100 * n_capitals > 50 * n_letters
     OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM m""",
+    "op11_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, r, '<|im_end|><|im_start|>assistant ok'
+  FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r)),
+e AS (SELECT *,
+    length(replace(regexp_replace(role, '<(\\*)\|(im_start|im_end|nl)\|>', '<\1\\|\2|>', 'g'),
+      chr(10), '<|nl|>')) AS role_chars,
+    length(regexp_replace(text, '<(\\*)\|(im_start|im_end)\|>', '<\1\\|\2|>', 'g')) AS text_chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+    ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(12 + role_chars + 1 + text_chars + 10 + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
+    # A CRC is eight steps a byte: x >= 0 takes a byte in, -1 is a step.
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(text, '') AS x,
+    sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'k': k, 'w': len(list_filter(
+    string_split_regex(x, '[\x20\x09-\x0D]+'), lambda v: v <> ''))} ORDER BY turn NULLS FIRST, k) AS ts
+  FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, ts, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END),
+    4294967295) % 4 AS h FROM o),
+b AS (SELECT h.conv_id, CASE WHEN h.conv_id % 20 = 0 THEN h.ts
+    ELSE list_concat(coalesce(p.ts[1:h.h], []), h.ts[h.h + 1:]) END AS ts
+  FROM h LEFT JOIN o p ON p.conv_id = h.conv_id - h.conv_id % 20),
+n AS (SELECT conv_id, d, len(ts) AS n, ts[d].w AS w,
+    sha256(array_to_string(list_transform(ts[1:d], lambda v: v.k), ',')) AS node,
+    sha256(array_to_string(list_transform(ts[1:d - 1], lambda v: v.k), ',')) AS parent
+  FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM b)),
+g AS (SELECT d, node, min(conv_id) AS conv_id, any_value(parent) AS parent, count(*) AS n_convs,
+    (count(*) - 1) * coalesce(any_value(w), 0) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends
+  FROM n GROUP BY d, node),
+c AS (SELECT x.d, x.node, count(*) AS n_children FROM g x JOIN g y ON y.d = x.d + 1 AND y.parent = x.node
+  GROUP BY x.d, x.node),
+s AS (SELECT n.d, n.node, sum(g.saved) AS saved, count(*) FILTER (c.node IS NULL) AS n_leaves
+  FROM g LEFT JOIN c USING (d, node) JOIN n ON n.conv_id = g.conv_id AND n.d <= g.d GROUP BY n.d, n.node)
+SELECT g.conv_id, g.d AS depth, p.conv_id AS parent_conv_id, g.n_convs,
+  coalesce(c.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+  g.ends AS ends_sha256
+FROM g JOIN s USING (d, node) LEFT JOIN c USING (d, node)
+  LEFT JOIN g p ON p.d = g.d - 1 AND p.node = g.parent""",
 }
