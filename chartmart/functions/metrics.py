@@ -21,11 +21,16 @@ def _dec(value: str, kind: str = "decimal(10,2)") -> Column:
 
 
 def rank_points(rank: Column) -> Column:
-    return (F.lit(TOP_RANK_BASE) - rank).cast("decimal(22,2)")
+    return (F.lit(TOP_RANK_BASE) - rank).cast("decimal(18,2)")
+
+
+def points_total(rows: Column, ranks: Column) -> Column:
+    """Sum of the rank points of some rows, from their number and the sum of their ranks."""
+    return F.lit(TOP_RANK_BASE) * rows - ranks
 
 
 def performance_index(rank: Column, popularity: Column) -> Column:
-    return ((rank_points(rank) + popularity) / 2).cast("decimal(22,2)")
+    return ((rank_points(rank) + popularity) / 2).cast("decimal(18,2)")
 
 
 def is_rising(daily: Column, weekly: Column) -> Column:
@@ -41,7 +46,7 @@ def movement_magnitude(daily: Column, weekly: Column) -> Column:
 
 
 def trend_strength(magnitude: Column) -> Column:
-    return F.least(_dec("10"), magnitude.cast("decimal(22,2)") / 10).cast("decimal(8,2)")
+    return F.least(_dec("10"), magnitude.cast("decimal(18,2)") / 10).cast("decimal(8,2)")
 
 
 def previous_rank(rank: Column, daily: Column, sign: int = -1) -> Column:
@@ -78,12 +83,12 @@ def engagement_score(popularity: Column) -> Column:
 
 
 def viral_coefficient(magnitude: Column) -> Column:
-    return F.least(_dec("1"), magnitude.cast("decimal(22,2)") / 100).cast("decimal(8,2)")
+    return F.least(_dec("1"), magnitude.cast("decimal(18,2)") / 100).cast("decimal(8,2)")
 
 
 def artist_score(index: Column, pos: Column) -> Column:
     share = F.when(pos == 0, _dec("1.0", "decimal(2,1)")).otherwise(_dec("0.7", "decimal(2,1)"))
-    return (index * share).cast("decimal(22,2)")
+    return (index * share).cast("decimal(18,2)")
 
 
 def contribution_weight(pos: Column) -> Column:

@@ -32,6 +32,12 @@ def partial(
     )
 
 
+def summed(df: DataFrame, keys: Sequence[str], sums: Sequence[str], **others: Column) -> DataFrame:
+    """Columns of a rollup summed up further per key, under their own names, and other aggregates."""
+    totals = [F.sum(c).alias(c) for c in sums]
+    return df.groupBy(*keys).agg(*totals, *[value.alias(c) for c, value in others.items()])
+
+
 def text_list(rows: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
     """Distinct values of ``col`` per key, in order, joined with ', '; null where there is none."""
     listed = F.expr(f"listagg(`{col}`, ', ') WITHIN GROUP (ORDER BY `{col}`)")

@@ -8,9 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows that a limit must not exceed for its result to be treated as small.
-BROADCAST_ROWS = 100_000
-
 
 def lookup(
     df: DataFrame,

@@ -1,14 +1,14 @@
 """The query catalogue over the warehouse tables.
 
-Every query takes the tables by name and returns an ordered DataFrame. Each
-fact is first aggregated by song or artist key (``partial``), so dimension
-joins and distinct counts work on keys instead of chart rows. Artist name lists
-are made only for the groups that a limit has chosen: queries with such lists
-run up to their limit when called, and return the rest as a plan.
-
-Queries marked "fan" are defined over chart rows left-joined to artist rows on
-song and day alone: one chart row counts once per artist row of that song and
-day in any country. See ``operators.fan``.
+Every query takes the tables by name and returns an ordered DataFrame: one lazy plan, the same for
+every limit. Queries over whole months read the rollups of ``plans.marts``, so no fact is shuffled;
+others first aggregate a fact by song or artist key (``partial``). Dimension joins and distinct counts
+then work on keys instead of chart rows. Artist name lists are made only for the groups that a limit
+has chosen, from the artists that the rollup rows of those groups carry.
+
+Queries marked "fan" are defined over chart rows left-joined to artist rows on song and day alone: one
+chart row counts once per artist row of that song and day in any country. The rollups hold those
+weighted sums.
 """
 
 from __future__ import annotations
@@ -20,17 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartmart.functions import classify as k
-from chartmart.functions.metrics import average
-from chartmart.operators.aggregate import one_row, partial, text_list
-from chartmart.operators.fan import FAN, weighted, with_fan, with_members
-from chartmart.operators.joins import keep_keys
-from chartmart.operators.late import narrower, settle
+from chartmart.functions.metrics import average, points_total
+from chartmart.operators.aggregate import one_row, partial, summed, text_list
 from chartmart.operators.rows import down, recent, top_k, top_k_per, with_previous
+from chartmart.plans.marts import rollup
 
 Tables = Mapping[str, DataFrame]
 
-SONG_DAY = ("song_key", "date_key")
-
 
 # --- shared pieces ------------------------------------------------------------
 
@@ -50,28 +46,42 @@ def _n_avg(col: str) -> Column:
 
 
 def _fan_avg(col: str) -> Column:
-    """Weighted mean of ``col`` over rows summed up by ``partial``."""
-    return average(weighted(f"sum_{col}"), weighted("n"))
+    """Mean of ``col`` over joined rows, from the weighted sums of the rollups."""
+    return average(F.sum(f"fan_{col}"), F.sum("fan"))
+
+
+def _songs(t: Tables, keys: Sequence[str], sums: Sequence[str] = (), **others: Column) -> DataFrame:
+    """The song rollup summed up by ``keys``: ``n``, ``sum_<c>`` and ``others``."""
+    return summed(rollup(t, "agg_song_month"), keys, ["n", *[f"sum_{c}" for c in sums]], **others)
+
+
+def _points(rows: str = "n", ranks: str = "sum_daily_rank") -> Column:
+    """Rank points of all rows of a group."""
+    return points_total(F.sum(rows), F.sum(ranks)).cast("double")
+
+
+def _members(rows: DataFrame, keys: Sequence[str], listed: str, member: str) -> DataFrame:
+    """The distinct members of a list column by ``keys``, one per row."""
+    return rows.select(*keys, F.explode(listed).alias(member)).distinct()
 
 
 def _with_artists(
     best: DataFrame,
-    song_rows: DataFrame,
+    spread: DataFrame,
     met: DataFrame,
     on: Sequence[str],
     t: Tables,
     order: Sequence[Column],
     n: int | None,
 ) -> DataFrame:
-    """``best`` with ``artist_name``: the distinct artists of the song rows of each group.
+    """``best`` with ``artist_name``: the distinct artists of the rollup rows of each group.
 
-    ``song_rows`` is ``best`` spread over its songs or song days, so the groups
-    are computed once; ``met`` holds ``on`` and the artists found there. The
-    ``n`` groups come out in ``order``.
+    ``spread`` is ``best`` spread over its songs, so the groups are computed once; ``met`` holds
+    ``on`` and an artist in each row. The ``n`` groups come out in ``order``.
     """
     cols = best.columns
     named = (
-        song_rows.select(*cols, *[c for c in on if c not in cols])
+        spread.select(*cols, *[c for c in on if c not in cols])
         .distinct()
         .join(met, list(on), "left")
         .select(*cols, "artist_key")
@@ -86,43 +96,28 @@ def _with_artists(
 
 def top_songs_global(t: Tables, n: int | None = 20) -> DataFrame:
     """Songs by name with the best average popularity (fan)."""
-    fact, artists = t["fact_song_daily"], t["fact_artist_stats"]
-    songs = _dim(t, "dim_song", "song_key", "song_name")
-    days = partial(
-        fact, SONG_DAY, sums=["popularity_score", "daily_rank"], maxes=["popularity_score"]
-    )
-    by_song = (
-        with_fan(days, artists, SONG_DAY)
-        .groupBy("song_key")
-        .agg(
-            weighted("n").alias("n"),
-            weighted("sum_popularity_score").alias("sum_popularity_score"),
-            weighted("sum_daily_rank").alias("sum_daily_rank"),
-            F.max("max_popularity_score").alias("max_popularity_score"),
-        )
-    )
+    rows, songs = rollup(t, "agg_song_month"), _dim(t, "dim_song", "song_key", "song_name")
     measured = (
-        by_song.join(songs, "song_key")
-        .groupBy("song_name")
-        .agg(
-            _n_avg("popularity_score").alias("avg_popularity"),
-            _n_avg("daily_rank").alias("avg_rank"),
-            F.max("max_popularity_score").alias("max_popularity"),
+        summed(
+            rows,
+            ["song_key", "country_key"],
+            ["fan", "fan_popularity_score", "fan_daily_rank"],
+            max_popularity_score=F.max("max_popularity_score"),
         )
-    )
-    countries = (
-        fact.select("song_key", "country_key")
-        .distinct()
         .join(songs, "song_key")
         .join(_dim(t, "dim_country", "country_key", "country_name"), "country_key")
         .groupBy("song_name")
-        .agg(F.count_distinct("country_name").alias("num_countries"))
+        .agg(
+            _fan_avg("popularity_score").alias("avg_popularity"),
+            _fan_avg("daily_rank").alias("avg_rank"),
+            F.max("max_popularity_score").alias("max_popularity"),
+            F.count_distinct("country_name").alias("num_countries"),
+        )
     )
     order = [down("avg_popularity"), down("num_countries"), F.asc("song_name")]
-    best = settle(top_k(measured.join(countries, "song_name"), order, n), n)
+    best = top_k(measured, order, n)
+    met = _members(rows, ["song_key"], "artists", "artist_key")
     spread = best.join(songs, "song_name")
-    # Artist rows only exist for song days on a chart, so songs alone lead to them.
-    met = narrower(spread, "song_key", n)(artists.select("song_key", "artist_key")).distinct()
     return _with_artists(best, spread, met, ["song_key"], t, order, n).select(
         "song_name", "artist_name", "num_countries", "avg_popularity", "avg_rank", "max_popularity"
     )
@@ -133,14 +128,18 @@ def trending_songs(
 ) -> DataFrame:
     """Average rank per song name and day of the window, with its change (fan)."""
     as_of = as_of or latest_day(t)
-    fact = recent(t["fact_song_daily"], as_of, days)
-    artists = recent(t["fact_artist_stats"], as_of, days)
-    by_day = partial(
-        fact, [*SONG_DAY, "snapshot_date"], sums=["popularity_score", "daily_rank"]
-    ).withColumnRenamed("snapshot_date", "date")
+    rows = recent(rollup(t, "agg_song_day"), as_of, days).withColumnRenamed("snapshot_date", "date")
+    songs = _dim(t, "dim_song", "song_key", "song_name")
+    weight = F.col("weight")
     grouped = (
-        with_fan(by_day, artists, SONG_DAY)
-        .join(_dim(t, "dim_song", "song_key", "song_name"), "song_key")
+        rows.select(
+            "song_key",
+            "date",
+            (F.col("n") * weight).alias("fan"),
+            (F.col("sum_daily_rank") * weight).alias("fan_daily_rank"),
+            (F.col("sum_popularity_score") * weight).alias("fan_popularity_score"),
+        )
+        .join(songs, "song_key")
         .groupBy("song_name", "date")
         .agg(
             _fan_avg("daily_rank").alias("avg_rank"),
@@ -149,12 +148,10 @@ def trending_songs(
     )
     moved = with_previous(grouped, ["song_name"], ["date"], "avg_rank", "prev_rank", "rank_change")
     order = [down("date"), down("avg_popularity"), F.asc("song_name")]
-    best = settle(top_k(moved, order, n), n)
-    spread = best.join(_dim(t, "dim_song", "song_key", "song_name"), "song_name")
-    met = narrower(spread, "song_key", n)(artists).select(
-        "song_key", F.col("snapshot_date").alias("date"), "artist_key"
-    )
-    return _with_artists(best, spread, met.distinct(), ["song_key", "date"], t, order, n).select(
+    best = top_k(moved, order, n)
+    met = _members(rows, ["song_key", "date"], "artists", "artist_key")
+    spread = best.join(songs, "song_name")
+    return _with_artists(best, spread, met, ["song_key", "date"], t, order, n).select(
         "song_name",
         "artist_name",
         "date",
@@ -167,9 +164,7 @@ def trending_songs(
 
 def genre_trends(t: Tables, n: int | None = 15) -> DataFrame:
     """Music categories drawn from audio features."""
-    per_song = partial(
-        t["fact_song_daily"], ["song_key"], sums=["popularity_score", "daily_rank", "rank_points"]
-    )
+    per_song = _songs(t, ["song_key"], ["popularity_score", "daily_rank"])
     audio = t["fact_audio_analysis"].select(
         "song_key",
         k.music_category(
@@ -184,7 +179,7 @@ def genre_trends(t: Tables, n: int | None = 15) -> DataFrame:
             F.count(F.lit(1)).alias("num_songs"),
             _n_avg("popularity_score").alias("avg_popularity"),
             _n_avg("daily_rank").alias("avg_rank"),
-            F.sum("sum_rank_points").cast("double").alias("total_rank_points"),
+            _points().alias("total_rank_points"),
         )
     )
     return top_k(grouped, [down("avg_popularity"), F.asc("music_category")], n)
@@ -218,10 +213,10 @@ def audio_features_trending(t: Tables, min_pop: int = 70, n: int | None = 20) ->
 
 def _artist_measures(t: Tables) -> DataFrame:
     """Artist rows summed up per artist, song and country."""
-    return partial(
-        t["fact_artist_stats"],
+    return summed(
+        rollup(t, "agg_artist_month"),
         ["artist_key", "song_key", "country_key"],
-        sums=["song_popularity", "artist_score"],
+        ["n", "sum_song_popularity", "sum_artist_score"],
     )
 
 
@@ -344,69 +339,60 @@ def artist_followers(t: Tables, n: int | None = 50) -> DataFrame:
 
 def top_songs_by_country(t: Tables, k: int = 1, n: int | None = 50) -> DataFrame:
     """The best ``k`` song names of each country (fan)."""
-    fact, artists = t["fact_song_daily"], t["fact_artist_stats"]
+    rows, keys = rollup(t, "agg_song_month"), ["song_key", "country_key"]
     songs = _dim(t, "dim_song", "song_key", "song_name")
     countries = _dim(t, "dim_country", "country_key", "country_name")
     grouped = (
-        with_fan(
-            fact.select(*SONG_DAY, "country_key", "popularity_score"), artists, SONG_DAY
-        )
-        .groupBy("song_key", "country_key")
-        .agg(
-            F.sum(FAN).alias("n"), weighted("popularity_score").alias("sum_popularity_score")
-        )
+        summed(rows, keys, ["fan", "fan_popularity_score"])
         .join(songs, "song_key")
         .join(countries, "country_key")
         .groupBy("country_name", "song_name")
-        .agg(_n_avg("popularity_score").alias("avg_popularity"))
+        .agg(_fan_avg("popularity_score").alias("avg_popularity"))
     )
     inner = [down("avg_popularity"), F.asc("song_name")]
     order = [F.asc("country_name"), *inner]
-    best = settle(top_k(top_k_per(grouped, ["country_name"], inner, k), order, n), n)
-    chosen = best.join(songs, "song_name").join(countries, "country_name")
-    cut = narrower(chosen, "song_key", n)
-    spread = chosen.join(
-        cut(fact.select(*SONG_DAY, "country_key")), ["song_key", "country_key"]
-    )
-    met = cut(artists.select(*SONG_DAY, "artist_key")).distinct()
-    return _with_artists(best, spread, met, SONG_DAY, t, order, n).select(
+    best = top_k(top_k_per(grouped, ["country_name"], inner, k), order, n)
+    spread = best.join(songs, "song_name").join(countries, "country_name")
+    met = _members(rows, keys, "artists", "artist_key")
+    return _with_artists(best, spread, met, keys, t, order, n).select(
         "country_name", "song_name", "artist_name", "avg_popularity"
     )
 
 
 def _country_measures(t: Tables, songs_as: str) -> DataFrame:
     """Distinct songs and artists, and popularity and points, by country (fan)."""
-    fact = t["fact_song_daily"]
+    rows = rollup(t, "agg_song_month")
     countries = _dim(t, "dim_country", "country_key", "country_name")
-    rows = fact.select(*SONG_DAY, "country_key", "popularity_score", "rank_points")
-    by_artist = (
-        with_members(rows, t["fact_artist_stats"], SONG_DAY, "artist_key")
-        .groupBy("country_key", "artist_key")
-        .agg(
-            F.sum(FAN).alias("n"),
-            weighted("popularity_score").alias("sum_popularity_score"),
-            weighted("rank_points").alias("sum_rank_points"),
-            F.max("popularity_score").alias("max_popularity_score"),
-        )
-    )
     measured = (
-        by_artist.join(countries, "country_key")
+        summed(
+            rows,
+            ["country_key"],
+            ["fan", "fan_popularity_score", "fan_daily_rank"],
+            max_popularity_score=F.max("max_popularity_score"),
+        )
+        .join(countries, "country_key")
         .groupBy("country_name")
         .agg(
-            F.count_distinct("artist_key").alias("unique_artists"),
-            _n_avg("popularity_score").alias("avg_popularity"),
+            _fan_avg("popularity_score").alias("avg_popularity"),
             F.max("max_popularity_score").alias("max_popularity"),
-            F.sum("sum_rank_points").cast("double").alias("total_rank_points"),
+            _points("fan", "fan_daily_rank").alias("total_rank_points"),
         )
     )
     song_counts = (
-        fact.select("country_key", "song_key")
+        rows.select("country_key", "song_key")
         .distinct()
         .join(countries, "country_key")
         .groupBy("country_name")
         .agg(F.count_distinct("song_key").alias(songs_as))
     )
-    return measured.join(song_counts, "country_name")
+    artist_counts = (
+        _members(rows, ["country_key"], "artists", "artist_key")
+        .join(countries, "country_key")
+        .groupBy("country_name")
+        .agg(F.count_distinct("artist_key").alias("unique_artists"))
+    )
+    merged = measured.join(song_counts, "country_name").join(artist_counts, "country_name", "left")
+    return merged.fillna(0, ["unique_artists"])
 
 
 def popularity_by_country(t: Tables, n: int | None = 15) -> DataFrame:
@@ -441,7 +427,7 @@ def regional_music_preferences(t: Tables, n: int | None = 100) -> DataFrame:
     )
     labels = ["mood", "energy_level", "danceability_level"]
     grouped = (
-        partial(t["fact_song_daily"], ["song_key", "country_key"], sums=["popularity_score"])
+        _songs(t, ["song_key", "country_key"], ["popularity_score"])
         .join(audio, "song_key")
         .groupBy("country_key", *labels)
         .agg(F.sum("n").alias("n"), F.sum("sum_popularity_score").alias("sum_popularity_score"))
@@ -460,8 +446,8 @@ def regional_music_preferences(t: Tables, n: int | None = 100) -> DataFrame:
 
 def popularity_by_weekday(t: Tables) -> DataFrame:
     keys = ["day_of_week", "day_name"]
-    per_song_day = partial(
-        t["fact_song_daily"], SONG_DAY, sums=["popularity_score", "daily_rank"]
+    per_song_day = rollup(t, "agg_song_day").select(
+        "song_key", "date_key", "n", "sum_popularity_score", "sum_daily_rank"
     )
     grouped = (
         per_song_day.join(_dim(t, "dim_date", "date_key", *keys), "date_key")
@@ -478,31 +464,26 @@ def popularity_by_weekday(t: Tables) -> DataFrame:
 def popularity_by_month(t: Tables) -> DataFrame:
     """Songs, artists and popularity by calendar month (fan)."""
     keys = ["year", "month", "month_name"]
-    months = _dim(t, "dim_date", "date_key", *keys)
-    days = partial(t["fact_song_daily"], SONG_DAY, sums=["popularity_score"])
-    by_artist = (
-        with_members(days, t["fact_artist_stats"], SONG_DAY, "artist_key")
-        .join(months, "date_key")
-        .groupBy(*keys, "artist_key")
-        .agg(
-            weighted("n").alias("n"),
-            weighted("sum_popularity_score").alias("sum_popularity_score"),
-        )
+    day = F.col("snapshot_month")
+    rows = rollup(t, "agg_song_month").withColumns(
+        {"year": F.year(day), "month": F.month(day), "month_name": F.date_format(day, "MMMM")}
     )
-    measured = by_artist.groupBy(*keys).agg(
-        _n_avg("popularity_score").alias("avg_popularity"),
-        F.count("artist_key").alias("num_artists"),
+    measured = rows.groupBy(*keys).agg(_fan_avg("popularity_score").alias("avg_popularity"))
+    artist_counts = (
+        _members(rows, keys, "artists", "artist_key")
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("num_artists"))
     )
     song_counts = (
-        t["fact_song_daily"]
-        .select(*SONG_DAY)
+        rows.select(*keys, "song_key")
         .distinct()
-        .join(months, "date_key")
         .groupBy(*keys)
-        .agg(F.count_distinct("song_key").alias("num_songs"))
+        .agg(F.count(F.lit(1)).alias("num_songs"))
     )
     return (
         measured.join(song_counts, keys)
+        .join(artist_counts, keys, "left")
+        .fillna(0, ["num_artists"])
         .select(*keys, "num_songs", "avg_popularity", "num_artists")
         .orderBy("year", "month")
     )
@@ -510,31 +491,34 @@ def popularity_by_month(t: Tables) -> DataFrame:
 
 def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
     keys = ["song_name", "country_name"]
-    firsts = (
-        t["fact_song_daily"]
-        .filter("daily_rank = 1")
-        .select(*SONG_DAY, "country_key", "snapshot_date")
-    )
-    artists = t["fact_artist_stats"].select(*SONG_DAY, "artist_key")
+    rows = rollup(t, "agg_song_month").filter("number_one_fan > 0")
     songs = _dim(t, "dim_song", "song_key", "song_name")
     countries = _dim(t, "dim_country", "country_key", "country_name")
-    # Artist rows of number-one song days are few; the others are dropped before counting.
-    rows = firsts if exact else with_fan(firsts, keep_keys(artists, firsts, SONG_DAY), SONG_DAY)
-    count = F.count_distinct("snapshot_date") if exact else F.sum(FAN)
-    named = rows.join(songs, "song_key").join(countries, "country_key")
-    grouped = named.groupBy(*keys).agg(
-        count.alias("days_at_number_one"),
-        F.min("snapshot_date").alias("first_date"),
-        F.max("snapshot_date").alias("last_date"),
+    firsts = rows.select(
+        "song_key",
+        "country_key",
+        "number_one_fan",
+        *([F.explode("number_one_days").alias("day")] if exact else []),
+        F.array_min("number_one_days").alias("first_date"),
+        F.array_max("number_one_days").alias("last_date"),
     )
-    order = [down("days_at_number_one"), *keys]
-    best = settle(top_k(grouped, order, n), n)
-    chosen = best.join(songs, "song_name").join(countries, "country_name")
-    cut = narrower(chosen, "song_key", n)
-    spread = chosen.join(
-        cut(firsts.select(*SONG_DAY, "country_key")), ["song_key", "country_key"]
+    count = F.count_distinct("day") if exact else F.sum("number_one_fan")
+    grouped = (
+        firsts.join(songs, "song_key")
+        .join(countries, "country_key")
+        .groupBy(*keys)
+        .agg(
+            count.alias("days_at_number_one"),
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+        )
     )
-    return _with_artists(best, spread, cut(artists).distinct(), SONG_DAY, t, order, n).select(
+    order = [down("days_at_number_one"), *keys]
+    best = top_k(grouped, order, n)
+    spread = best.join(songs, "song_name").join(countries, "country_name")
+    on = ["song_key", "country_key"]
+    met = _members(rows, on, "number_one_artists", "artist_key")
+    return _with_artists(best, spread, met, on, t, order, n).select(
         "song_name",
         "artist_name",
         "country_name",
@@ -563,38 +547,33 @@ def _albums(t: Tables) -> DataFrame:
     )
 
 
+def _album_rows(t: Tables) -> DataFrame:
+    return rollup(t, "agg_song_month").filter(F.col("album_key").isNotNull())
+
+
 def top_albums(t: Tables, n: int | None = 20) -> DataFrame:
     """Albums by name and year with the best average popularity (fan)."""
     keys = ["album_name", "release_year"]
-    fact = t["fact_song_daily"].filter(F.col("album_key").isNotNull())
-    artists, albums = t["fact_artist_stats"], _albums(t)
-    days = partial(fact, [*SONG_DAY, "album_key"], sums=["popularity_score", "rank_points"])
+    rows, albums = _album_rows(t), _albums(t)
+    sums = ["fan", "fan_popularity_score", "fan_daily_rank"]
     measured = (
-        with_fan(days, artists, SONG_DAY)
-        .groupBy("album_key", "song_key")
-        .agg(
-            weighted("n").alias("n"),
-            weighted("sum_popularity_score").alias("sum_popularity_score"),
-            weighted("sum_rank_points").alias("sum_rank_points"),
-        )
+        summed(rows, ["album_key", "song_key"], sums)
         .join(albums, "album_key")
         .groupBy(*keys)
         .agg(
             F.count_distinct("song_key").alias("num_songs"),
-            _n_avg("popularity_score").alias("avg_popularity"),
-            F.sum("sum_rank_points").cast("double").alias("total_rank_points"),
+            _fan_avg("popularity_score").alias("avg_popularity"),
+            _points("fan", "fan_daily_rank").alias("total_rank_points"),
         )
     )
     order = [down("avg_popularity"), F.asc("album_name"), F.asc_nulls_last("release_year")]
-    best = settle(top_k(measured, order, n), n)
+    best = top_k(measured, order, n)
     same = F.col("_name").eqNullSafe(F.col("album_name")) & F.col("_year").eqNullSafe(
         F.col("release_year")
     )
-    chosen = best.join(albums.toDF("album_key", "_name", "_year"), same)
-    days = narrower(chosen, "album_key", n)(fact.select(*SONG_DAY, "album_key"))
-    spread = chosen.join(days, "album_key")
-    met = narrower(spread, "song_key", n)(artists.select(*SONG_DAY, "artist_key"))
-    return _with_artists(best, spread, met.distinct(), SONG_DAY, t, order, n).select(
+    spread = best.join(albums.toDF("album_key", "_name", "_year"), same)
+    met = _members(rows, ["album_key"], "artists", "artist_key")
+    return _with_artists(best, spread, met, ["album_key"], t, order, n).select(
         "album_name",
         "artist_name",
         "release_year",
@@ -605,8 +584,7 @@ def top_albums(t: Tables, n: int | None = 20) -> DataFrame:
 
 
 def _album_songs(t: Tables) -> DataFrame:
-    fact = t["fact_song_daily"].filter(F.col("album_key").isNotNull())
-    return partial(fact, ["album_key", "song_key"], sums=["popularity_score"])
+    return summed(_album_rows(t), ["album_key", "song_key"], ["n", "sum_popularity_score"])
 
 
 def album_type_analysis(t: Tables) -> DataFrame:
@@ -665,7 +643,7 @@ def audio_features_popularity(t: Tables, n: int | None = 30) -> DataFrame:
     )
     labels = [c for c in audio.columns if c != "song_key"]
     grouped = (
-        partial(t["fact_song_daily"], ["song_key"], sums=["popularity_score"])
+        _songs(t, ["song_key"], ["popularity_score"])
         .join(audio, "song_key")
         .join(_dim(t, "dim_song", "song_key", "duration_ms"), "song_key")
         .withColumn("sum_duration_ms", F.col("duration_ms").cast("bigint") * F.col("n"))
@@ -684,11 +662,7 @@ def mood_analysis(t: Tables) -> DataFrame:
         "song_key", k.mood_strict(F.col("valence"), F.col("energy")).alias("mood")
     )
     grouped = (
-        partial(
-            t["fact_song_daily"],
-            ["song_key", "country_key"],
-            sums=["popularity_score", "daily_rank"],
-        )
+        _songs(t, ["song_key", "country_key"], ["popularity_score", "daily_rank"])
         .join(audio, "song_key")
         .filter(F.col("mood").isNotNull())
         .groupBy("mood")
@@ -704,11 +678,7 @@ def mood_analysis(t: Tables) -> DataFrame:
 
 def explicit_analysis(t: Tables) -> DataFrame:
     grouped = (
-        partial(
-            t["fact_song_daily"],
-            ["song_key", "country_key"],
-            sums=["popularity_score", "daily_rank"],
-        )
+        _songs(t, ["song_key", "country_key"], ["popularity_score", "daily_rank"])
         .join(_dim(t, "dim_song", "song_key", "is_explicit"), "song_key")
         .groupBy("is_explicit")
         .agg(
@@ -726,34 +696,26 @@ def explicit_analysis(t: Tables) -> DataFrame:
 
 def summary_stats(t: Tables) -> DataFrame:
     """One row over everything (fan)."""
-    fact = t["fact_song_daily"]
-    days = partial(fact, SONG_DAY, sums=["popularity_score"], maxes=["popularity_score"])
-    measured = (
-        with_members(days, t["fact_artist_stats"], SONG_DAY, "artist_key")
-        .groupBy("artist_key")
-        .agg(
-            weighted("n").alias("n"),
-            weighted("sum_popularity_score").alias("sum_popularity_score"),
-            F.max("max_popularity_score").alias("max_popularity_score"),
-        )
-        .agg(
-            F.count("artist_key").alias("total_artists"),
-            _n_avg("popularity_score").alias("avg_popularity"),
-            F.max("max_popularity_score").alias("max_popularity"),
-        )
-    )
+    rows = rollup(t, "agg_song_month")
     countries = (
-        fact.select("country_key")
+        rows.select("country_key")
         .distinct()
         .join(_dim(t, "dim_country", "country_key", "country_name"), "country_key")
     )
-    merged = one_row(
-        measured,
-        fact.agg(F.count_distinct("song_key").alias("total_songs")),
-        countries.agg(F.count_distinct("country_name").alias("total_countries")),
-        fact.agg(F.count_distinct("album_key").alias("total_albums")),
-    )
-    return merged.select(
+
+    def distinct(of: DataFrame, name: str) -> DataFrame:
+        return of.distinct().agg(F.count(of.columns[0]).alias(name))
+
+    return one_row(
+        rows.agg(
+            _fan_avg("popularity_score").alias("avg_popularity"),
+            F.max("max_popularity_score").alias("max_popularity"),
+        ),
+        distinct(rows.select("song_key"), "total_songs"),
+        distinct(_members(rows, [], "artists", "artist_key"), "total_artists"),
+        distinct(countries.select("country_name"), "total_countries"),
+        distinct(rows.select("album_key"), "total_albums"),
+    ).select(
         "total_songs",
         "total_artists",
         "total_countries",
@@ -766,7 +728,7 @@ def summary_stats(t: Tables) -> DataFrame:
 def duration_analysis(t: Tables) -> DataFrame:
     songs = _dim(t, "dim_song", "song_key", "duration_ms").filter("duration_ms > 0")
     grouped = (
-        partial(t["fact_song_daily"], ["song_key"], sums=["popularity_score"])
+        _songs(t, ["song_key"], ["popularity_score"])
         .join(songs, "song_key")
         .groupBy(k.duration_category(F.col("duration_ms")).alias("duration_category"))
         .agg(

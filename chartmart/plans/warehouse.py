@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmart.plans import dims, facts
+from chartmart.plans import dims, facts, marts
 from chartmart.plans.transform import clean_rows
 from chartmart.session import WIDE_ROW_CONF, using_conf
 from chartmart.sources.tables import (
     DIMENSIONS,
+    MARTS,
     SCHEMAS,
     materialise,
     read_table,
@@ -84,11 +85,13 @@ def write_warehouse(feed: DataFrame, path: str) -> dict[str, DataFrame]:
         key = SCHEMAS[name].split()[0]
         if not colliding_keys(written[name], key).isEmpty():
             raise ValueError(f"{name}: different natural keys share one {key}")
+    marts.refresh(spark, path)
     return written
 
 
 def open_warehouse(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, path, name) for name in SCHEMAS}
+    """The eleven tables and the rollups."""
+    return {name: read_table(spark, path, name) for name in (*SCHEMAS, *MARTS)}
 
 
 def register(tables: Mapping[str, DataFrame]) -> None:
@@ -100,7 +103,7 @@ def register(tables: Mapping[str, DataFrame]) -> None:
 class OnDemandWarehouse(Mapping[str, DataFrame]):
     """Tables that are built and written when they are first asked for.
 
-    Besides the eleven tables it offers the stages ``feed``, ``clean`` and
+    Besides the eleven tables and the rollups it offers the stages ``feed``, ``clean`` and
     ``chart_rows``. A query then pays only for what it reads, and the next one
     finds it on storage.
     """
@@ -113,7 +116,7 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
         self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in SCHEMAS and name not in self.STAGES:
+        if not (name in SCHEMAS or name in MARTS or name in self.STAGES):
             raise KeyError(name)
         with self._lock:
             if name not in self._ready:
@@ -121,10 +124,10 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
             return self._ready[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(SCHEMAS)
+        return iter((*SCHEMAS, *MARTS))
 
     def __len__(self) -> int:
-        return len(SCHEMAS)
+        return len(SCHEMAS) + len(MARTS)
 
     def path_of(self, *names: str) -> str:
         """The folder, after making sure that the named tables are in it."""
@@ -141,7 +144,9 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
             }[name]()
             with using_conf(self._spark, WIDE_ROW_CONF):
                 return materialise(plan, f"{self._path}/_stage/{name}", name == "chart_rows")
-        if name in _DIM_BUILDERS:
+        if name in MARTS:
+            plan = marts.BUILDERS[name](self)
+        elif name in _DIM_BUILDERS:
             plan = _DIM_BUILDERS[name](self["clean"])
         elif name in _CHART_FACTS:
             plan = _CHART_FACTS[name](self["chart_rows"])

@@ -27,9 +27,9 @@ _GRAIN = "song_key bigint, date_key bigint, country_key bigint"
 _DAY = "snapshot_date date, snapshot_month date"
 FACTS = {
     "fact_song_daily": f"{_GRAIN}, album_key bigint, daily_rank bigint, popularity_score int, "
-    f"rank_points decimal(22,2), performance_index decimal(22,2), {_DAY}",
+    f"rank_points decimal(18,2), performance_index decimal(18,2), {_DAY}",
     "fact_artist_stats": f"artist_key bigint, {_GRAIN}, song_rank bigint, song_popularity int, "
-    f"artist_position int, artist_score decimal(22,2), contribution_weight decimal(5,2), {_DAY}",
+    f"artist_position int, artist_score decimal(18,2), contribution_weight decimal(5,2), {_DAY}",
     "fact_chart_position": f"{_GRAIN}, current_rank bigint, previous_rank bigint, daily_movement bigint, "
     "weekly_movement bigint, is_rising boolean, is_falling boolean, movement_magnitude bigint, "
     f"trend_strength decimal(8,2), {_DAY}",
@@ -42,6 +42,19 @@ FACTS = {
     f"viral_coefficient decimal(8,2), {_DAY}",
 }
 SCHEMAS = {**DIMENSIONS, **FACTS}
+# Rollups kept beside the tables, see ``plans.marts``. Types have no comma and space in them.
+MARTS = {
+    "agg_song_day": "song_key bigint, date_key bigint, n bigint, sum_popularity_score bigint, "
+    "sum_daily_rank bigint, max_popularity_score int, weight bigint, artists array<bigint>, "
+    f"{_DAY}",
+    "agg_song_month": "song_key bigint, country_key bigint, album_key bigint, n bigint, "
+    "sum_popularity_score bigint, sum_daily_rank bigint, max_popularity_score int, fan bigint, "
+    "fan_popularity_score bigint, fan_daily_rank bigint, artists array<bigint>, "
+    "number_one_days array<date>, number_one_fan bigint, number_one_artists array<bigint>, "
+    "snapshot_month date",
+    "agg_artist_month": "artist_key bigint, song_key bigint, country_key bigint, n bigint, "
+    "sum_song_popularity bigint, sum_artist_score decimal(38,2), snapshot_month date",
+}
 MONTH = "snapshot_month"
 
 NATURAL_KEYS = {
@@ -65,17 +78,22 @@ NATURAL_KEYS = {
 }
 
 
+def schema_of(name: str) -> str:
+    return SCHEMAS[name] if name in SCHEMAS else MARTS[name]
+
+
 def by_month(name: str) -> bool:
-    return MONTH in SCHEMAS[name]
+    return MONTH in schema_of(name)
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
+    return spark.read.schema(schema_of(name)).parquet(f"{path}/{name}")
 
 
 def _by_song(df: DataFrame) -> DataFrame:
     """Rows of a task by month and song: aggregates by song then shrink before they shuffle."""
-    return df.sortWithinPartitions(MONTH, "song_key", "snapshot_date")
+    order = [c for c in (MONTH, "song_key", "snapshot_date") if c in df.columns]
+    return df.sortWithinPartitions(*order)
 
 
 def _month_layout(df: DataFrame) -> DataFrame:
@@ -89,11 +107,15 @@ def write_table(
     """Writes one table, dated facts in month partitions.
 
     ``laid_out`` tells that the rows come from a stage already written by
-    month: then each task writes what it reads, without another shuffle.
+    month: then each task writes what it reads, without another shuffle. The
+    mode ``months`` replaces the months that ``df`` has rows of.
     """
     if by_month(name):
         rows = _by_song(df) if laid_out else _month_layout(df)
-        rows.write.mode(mode).partitionBy(MONTH).parquet(f"{path}/{name}")
+        writer = rows.write.mode("overwrite" if mode == "months" else mode)
+        if mode == "months":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(MONTH).parquet(f"{path}/{name}")
     else:
         df.hint("rebalance").write.mode(mode).parquet(f"{path}/{name}")
 
@@ -117,7 +139,7 @@ def write_tables(
 
 def create_missing(spark: SparkSession, path: str) -> None:
     """Makes an empty table of each that is not there yet."""
-    for name, schema in SCHEMAS.items():
+    for name, schema in {**SCHEMAS, **MARTS}.items():
         empty = spark.createDataFrame([], schema).write.mode("ignore")
         (empty.partitionBy(MONTH) if by_month(name) else empty).parquet(f"{path}/{name}")
 
