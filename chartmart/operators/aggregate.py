@@ -40,8 +40,9 @@ def summed(df: DataFrame, keys: Sequence[str], sums: Sequence[str], **others: Co
 
 def text_list(rows: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
     """Distinct values of ``col`` per key, in order, joined with ', '; null where there is none."""
-    listed = F.expr(f"listagg(`{col}`, ', ') WITHIN GROUP (ORDER BY `{col}`)")
-    return rows.select(*keys, col).distinct().groupBy(*keys).agg(listed.alias(name))
+    values = F.array_sort(F.collect_set(col))
+    listed = F.when(F.size(values) > 0, F.array_join(values, ", "))
+    return rows.groupBy(*keys).agg(listed.alias(name))
 
 
 def one_row(*branches: DataFrame) -> DataFrame:

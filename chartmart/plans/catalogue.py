@@ -60,32 +60,36 @@ def _points(rows: str = "n", ranks: str = "sum_daily_rank") -> Column:
     return points_total(F.sum(rows), F.sum(ranks)).cast("double")
 
 
-def _members(rows: DataFrame, keys: Sequence[str], listed: str, member: str) -> DataFrame:
-    """The distinct members of a list column by ``keys``, one per row."""
-    return rows.select(*keys, F.explode(listed).alias(member)).distinct()
+def _distinct_artists(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Number of distinct artists that the rollup rows of each key carry."""
+    return (
+        rows.select(*keys, F.explode("artists").alias("artist_key"))
+        .groupBy(*keys)
+        .agg(F.count_distinct("artist_key").alias(name))
+    )
 
 
 def _with_artists(
     best: DataFrame,
     spread: DataFrame,
-    met: DataFrame,
+    rows: DataFrame,
     on: Sequence[str],
     t: Tables,
     order: Sequence[Column],
     n: int | None,
+    listed: str = "artists",
 ) -> DataFrame:
-    """``best`` with ``artist_name``: the distinct artists of the rollup rows of each group.
+    """``best`` with ``artist_name``: the distinct artists that the rows of each group list.
 
-    ``spread`` is ``best`` spread over its songs, so the groups are computed once; ``met`` holds
-    ``on`` and an artist in each row. The ``n`` groups come out in ``order``.
+    ``spread`` is ``best`` with the keys ``on`` of its groups, so the groups are computed once. Their
+    rows exist, since the groups were made of them; lists may be empty. The ``n`` groups come out in
+    ``order``.
     """
     cols = best.columns
     named = (
         spread.select(*cols, *[c for c in on if c not in cols])
-        .distinct()
-        .join(met, list(on), "left")
-        .select(*cols, "artist_key")
-        .distinct()
+        .join(rows.select(*on, listed), list(on))
+        .select(*cols, F.explode_outer(listed).alias("artist_key"))
         .join(_dim(t, "dim_artist", "artist_key", "artist_name"), "artist_key", "left")
     )
     return top_k(text_list(named, cols, "artist_name", "artist_name"), order, n)
@@ -116,9 +120,8 @@ def top_songs_global(t: Tables, n: int | None = 20) -> DataFrame:
     )
     order = [down("avg_popularity"), down("num_countries"), F.asc("song_name")]
     best = top_k(measured, order, n)
-    met = _members(rows, ["song_key"], "artists", "artist_key")
     spread = best.join(songs, "song_name")
-    return _with_artists(best, spread, met, ["song_key"], t, order, n).select(
+    return _with_artists(best, spread, rows, ["song_key"], t, order, n).select(
         "song_name", "artist_name", "num_countries", "avg_popularity", "avg_rank", "max_popularity"
     )
 
@@ -149,9 +152,8 @@ def trending_songs(
     moved = with_previous(grouped, ["song_name"], ["date"], "avg_rank", "prev_rank", "rank_change")
     order = [down("date"), down("avg_popularity"), F.asc("song_name")]
     best = top_k(moved, order, n)
-    met = _members(rows, ["song_key", "date"], "artists", "artist_key")
     spread = best.join(songs, "song_name")
-    return _with_artists(best, spread, met, ["song_key", "date"], t, order, n).select(
+    return _with_artists(best, spread, rows, ["song_key", "date"], t, order, n).select(
         "song_name",
         "artist_name",
         "date",
@@ -353,46 +355,23 @@ def top_songs_by_country(t: Tables, k: int = 1, n: int | None = 50) -> DataFrame
     order = [F.asc("country_name"), *inner]
     best = top_k(top_k_per(grouped, ["country_name"], inner, k), order, n)
     spread = best.join(songs, "song_name").join(countries, "country_name")
-    met = _members(rows, keys, "artists", "artist_key")
-    return _with_artists(best, spread, met, keys, t, order, n).select(
+    return _with_artists(best, spread, rows, keys, t, order, n).select(
         "country_name", "song_name", "artist_name", "avg_popularity"
     )
 
 
 def _country_measures(t: Tables, songs_as: str) -> DataFrame:
     """Distinct songs and artists, and popularity and points, by country (fan)."""
-    rows = rollup(t, "agg_song_month")
     countries = _dim(t, "dim_country", "country_key", "country_name")
-    measured = (
-        summed(
-            rows,
-            ["country_key"],
-            ["fan", "fan_popularity_score", "fan_daily_rank"],
-            max_popularity_score=F.max("max_popularity_score"),
-        )
-        .join(countries, "country_key")
-        .groupBy("country_name")
-        .agg(
-            _fan_avg("popularity_score").alias("avg_popularity"),
-            F.max("max_popularity_score").alias("max_popularity"),
-            _points("fan", "fan_daily_rank").alias("total_rank_points"),
-        )
-    )
-    song_counts = (
-        rows.select("country_key", "song_key")
-        .distinct()
-        .join(countries, "country_key")
-        .groupBy("country_name")
-        .agg(F.count_distinct("song_key").alias(songs_as))
-    )
-    artist_counts = (
-        _members(rows, ["country_key"], "artists", "artist_key")
-        .join(countries, "country_key")
-        .groupBy("country_name")
-        .agg(F.count_distinct("artist_key").alias("unique_artists"))
+    rows = rollup(t, "agg_song_month").join(countries, "country_key")
+    measured = rows.groupBy("country_name").agg(
+        F.count_distinct("song_key").alias(songs_as),
+        _fan_avg("popularity_score").alias("avg_popularity"),
+        F.max("max_popularity_score").alias("max_popularity"),
+        _points("fan", "fan_daily_rank").alias("total_rank_points"),
     )
-    merged = measured.join(song_counts, "country_name").join(artist_counts, "country_name", "left")
-    return merged.fillna(0, ["unique_artists"])
+    artists = _distinct_artists(rows, ["country_name"], "unique_artists")
+    return measured.join(artists, "country_name", "left").fillna(0, ["unique_artists"])
 
 
 def popularity_by_country(t: Tables, n: int | None = 15) -> DataFrame:
@@ -468,21 +447,12 @@ def popularity_by_month(t: Tables) -> DataFrame:
     rows = rollup(t, "agg_song_month").withColumns(
         {"year": F.year(day), "month": F.month(day), "month_name": F.date_format(day, "MMMM")}
     )
-    measured = rows.groupBy(*keys).agg(_fan_avg("popularity_score").alias("avg_popularity"))
-    artist_counts = (
-        _members(rows, keys, "artists", "artist_key")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("num_artists"))
-    )
-    song_counts = (
-        rows.select(*keys, "song_key")
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("num_songs"))
+    measured = rows.groupBy(*keys).agg(
+        F.count_distinct("song_key").alias("num_songs"),
+        _fan_avg("popularity_score").alias("avg_popularity"),
     )
     return (
-        measured.join(song_counts, keys)
-        .join(artist_counts, keys, "left")
+        measured.join(_distinct_artists(rows, keys, "num_artists"), keys, "left")
         .fillna(0, ["num_artists"])
         .select(*keys, "num_songs", "avg_popularity", "num_artists")
         .orderBy("year", "month")
@@ -517,8 +487,8 @@ def _longest(t: Tables, n: int | None, exact: bool) -> DataFrame:
     best = top_k(grouped, order, n)
     spread = best.join(songs, "song_name").join(countries, "country_name")
     on = ["song_key", "country_key"]
-    met = _members(rows, on, "number_one_artists", "artist_key")
-    return _with_artists(best, spread, met, on, t, order, n).select(
+    named = _with_artists(best, spread, rows, on, t, order, n, "number_one_artists")
+    return named.select(
         "song_name",
         "artist_name",
         "country_name",
@@ -572,8 +542,7 @@ def top_albums(t: Tables, n: int | None = 20) -> DataFrame:
         F.col("release_year")
     )
     spread = best.join(albums.toDF("album_key", "_name", "_year"), same)
-    met = _members(rows, ["album_key"], "artists", "artist_key")
-    return _with_artists(best, spread, met, ["album_key"], t, order, n).select(
+    return _with_artists(best, spread, rows, ["album_key"], t, order, n).select(
         "album_name",
         "artist_name",
         "release_year",
@@ -702,19 +671,15 @@ def summary_stats(t: Tables) -> DataFrame:
         .distinct()
         .join(_dim(t, "dim_country", "country_key", "country_name"), "country_key")
     )
-
-    def distinct(of: DataFrame, name: str) -> DataFrame:
-        return of.distinct().agg(F.count(of.columns[0]).alias(name))
-
     return one_row(
         rows.agg(
+            F.count_distinct("song_key").alias("total_songs"),
             _fan_avg("popularity_score").alias("avg_popularity"),
             F.max("max_popularity_score").alias("max_popularity"),
         ),
-        distinct(rows.select("song_key"), "total_songs"),
-        distinct(_members(rows, [], "artists", "artist_key"), "total_artists"),
-        distinct(countries.select("country_name"), "total_countries"),
-        distinct(rows.select("album_key"), "total_albums"),
+        _distinct_artists(rows, [], "total_artists"),
+        countries.agg(F.count_distinct("country_name").alias("total_countries")),
+        rows.agg(F.count_distinct("album_key").alias("total_albums")),
     ).select(
         "total_songs",
         "total_artists",
