@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartmart.operators.joins import keep_keys
 from chartmart.plans import dims, facts, marts
 from chartmart.plans.transform import clean_rows
 from chartmart.session import WIDE_ROW_CONF, using_conf
+from chartmart.sources import folders
 from chartmart.sources.tables import (
     DIMENSIONS,
     MARTS,
@@ -66,27 +69,45 @@ def colliding_keys(dim: DataFrame, key: str) -> DataFrame:
     return dim.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
+def check_keys(dims: Mapping[str, DataFrame], known: Mapping[str, DataFrame] | None = None) -> None:
+    """Stops if two natural keys share a surrogate key.
+
+    ``dims`` are looked through on their own and, as new members, against the ``known`` dimensions:
+    these have none of their natural keys, so an equal surrogate key is a collision.
+    """
+    for name, dim in dims.items():
+        key = SCHEMAS[name].split()[0]
+        shared = colliding_keys(dim, key).select(key)
+        if known is not None:
+            shared = shared.union(keep_keys(dim, known[name], [key]).select(key))
+        found = shared.first()
+        if found:
+            raise ValueError(f"{name}: different natural keys share the {key} {found[0]}")
+
+
 def write_warehouse(feed: DataFrame, path: str) -> dict[str, DataFrame]:
-    """Builds and writes everything under ``path``, replacing what is there.
+    """Builds and writes everything, then puts it in place of what is under ``path``.
 
-    The clean rows and the chart rows are staged once as tables, since eleven
-    and three tables are made from them. Stops if two natural keys of a
+    All tables and rollups are written to a folder of their own and checked there: a build that fails
+    at any point leaves the old tables as they are. The clean rows and the chart rows are staged once
+    as tables, since eleven and three tables are made from them. Stops if two natural keys of a
     dimension share a surrogate key.
     """
     spark = feed.sparkSession
-    with using_conf(spark, WIDE_ROW_CONF):
-        clean = materialise(clean_rows(feed), f"{path}/_stage/clean")
-    tables = build_from_clean(
-        clean, lambda rows: materialise(rows, f"{path}/_stage/chart_rows", month_layout=True)
-    )
-    write_tables(tables, path, laid_out=_CHART_FACTS)
-    written = open_warehouse(spark, path)
-    for name in DIMENSIONS:
-        key = SCHEMAS[name].split()[0]
-        if not colliding_keys(written[name], key).isEmpty():
-            raise ValueError(f"{name}: different natural keys share one {key}")
-    marts.refresh(spark, path)
-    return written
+    fresh = f"{path}/_build/{uuid.uuid4().hex}"
+    try:
+        with using_conf(spark, WIDE_ROW_CONF):
+            clean = materialise(clean_rows(feed), f"{fresh}/_stage/clean")
+        tables = build_from_clean(
+            clean, lambda rows: materialise(rows, f"{fresh}/_stage/chart_rows", month_layout=True)
+        )
+        write_tables(tables, fresh, laid_out=_CHART_FACTS)
+        check_keys({name: read_table(spark, fresh, name) for name in DIMENSIONS})
+        marts.refresh(spark, fresh)
+        folders.replace(spark, fresh, path, (*SCHEMAS, *MARTS))
+    finally:
+        folders.remove(spark, f"{path}/_build")
+    return open_warehouse(spark, path)
 
 
 def open_warehouse(spark: SparkSession, path: str) -> dict[str, DataFrame]:

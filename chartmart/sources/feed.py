@@ -49,8 +49,15 @@ PANDAS_NULL_TOKENS = (
 )
 
 
+# Lines that do not have the columns of the header.
+BROKEN = "_broken"
+
+
 def _options(multi_line: bool) -> dict[str, str]:
     return {
+        "columnNameOfCorruptRecord": BROKEN,
+        # With only some columns parsed, lines of the wrong length would go unseen.
+        "columnPruning": str(multi_line).lower(),
         "header": "true",
         "multiLine": str(multi_line).lower(),
         "quote": '"',
@@ -60,13 +67,34 @@ def _options(multi_line: bool) -> dict[str, str]:
     }
 
 
-def _text_schema(columns: Sequence[str]) -> StructType:
-    return StructType([StructField(c, StringType()) for c in columns])
+def _text_schema(columns: Sequence[str], multi_line: bool) -> StructType:
+    guard = [] if multi_line else [BROKEN]
+    return StructType([StructField(c, StringType()) for c in (*columns, *guard)])
+
+
+def _unbroken(df: DataFrame) -> DataFrame:
+    """Stops at a line that ends inside quotes: its row goes on in the next line.
+
+    Read line by line such a row would fall apart. It lacks columns, or has too many, and an odd
+    number of quotes; other lines of the wrong length are rows with missing or surplus cells.
+    """
+    if BROKEN not in df.columns:
+        return df
+    line = F.col(BROKEN)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    whole = line.isNull() | (quotes % 2 == 0)
+    said = F.concat(
+        F.lit("line break inside quotes, read this file with multi_line=True: "),
+        F.col("_metadata.file_path"),
+        F.lit(", near "),
+        F.coalesce(df.columns[0], F.lit("")),
+    )
+    return df.filter(F.assert_true(whole, said).isNull()).drop(BROKEN)
 
 
 def _cells(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
     """The feed columns with null tokens nulled, and where each row came from."""
-    tokens = list(null_tokens)
+    df, tokens = _unbroken(df), list(null_tokens)
     cells = [
         (F.when(~F.col(c).isin(tokens), F.col(c)) if tokens else F.col(c)).alias(c)
         for c in FEED_COLUMNS
@@ -97,22 +125,22 @@ def read_feed(
     spark: SparkSession,
     path: str | Sequence[str],
     null_tokens: Sequence[str] = ("",),
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Feed files as text columns plus the input order ``_seq``.
 
     Columns are taken by header name, in any order; a ``seq`` column, if there
     is one, decides the input order. Give ``PANDAS_NULL_TOKENS`` to treat the
-    same cells as null as a pandas reader does. Quoted line breaks need
-    ``multi_line``, which keeps each file in one task: use many files, or turn
-    it off for large files without such breaks.
+    same cells as null as a pandas reader does. A large file is split over
+    tasks. Quoted line breaks need ``multi_line``, which keeps each file in one
+    task; without it a file that has some stops the job with its name.
     """
     paths = [path] if isinstance(path, str) else list(path)
     header = spark.read.option("header", "true").csv(paths).columns
     missing = [c for c in FEED_COLUMNS if c not in header]
     if missing:
         raise ValueError(f"feed lacks columns {missing}")
-    df = spark.read.schema(_text_schema(header)).options(**_options(multi_line)).csv(paths)
+    df = spark.read.schema(_text_schema(header, multi_line)).options(**_options(multi_line)).csv(paths)
     return with_input_order(_cells(df, null_tokens))
 
 
@@ -122,14 +150,14 @@ def stream_feed(
     columns: Sequence[str] = FEED_COLUMNS,
     null_tokens: Sequence[str] = ("",),
     max_files: int = 200,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The same as a stream over arriving files; ``columns`` is their header order.
 
     Row ids do not exist in a stream: apply ``with_input_order`` to its batches.
     """
     df = (
-        spark.readStream.schema(_text_schema(columns))
+        spark.readStream.schema(_text_schema(columns, multi_line))
         .options(**_options(multi_line))
         .option("maxFilesPerTrigger", max_files)
         .csv(path)

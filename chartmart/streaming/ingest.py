@@ -1,11 +1,15 @@
 """Incremental load: new feed files into an existing warehouse.
 
-Every batch appends only unknown keys, table by table. A batch that broke off
-is replayed as a whole, and what it had already written is skipped.
+Every batch appends only unknown keys, table by table. A batch that broke off is replayed as a whole
+under the same name: what it had staged is replaced, what it had already written is skipped, and the
+rollups of its months are made anew. New dimension members are staged and their surrogate keys checked
+before any table is touched. Loads into one warehouse take turns; each stages in a folder of its own.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chartmart.operators.append import append_new
-from chartmart.plans.transform import clean_rows
-from chartmart.plans.warehouse import build_from_clean
+from chartmart.plans import marts, rejects
+from chartmart.plans.warehouse import build_from_clean, check_keys
 from chartmart.session import WIDE_ROW_CONF, using_conf
+from chartmart.sources import folders
 from chartmart.sources.feed import FEED_COLUMNS, stream_feed, with_input_order
 from chartmart.sources.tables import (
+    DIMENSIONS,
     MONTH,
     NATURAL_KEYS,
     by_month,
@@ -31,16 +37,31 @@ from chartmart.sources.tables import (
 _NULL_SAFE = {"dim_album"}
 
 
-def load_batch(feed: DataFrame, path: str) -> None:
-    """Adds the rows of one ordered feed batch to the tables under ``path``."""
+def load_batch(
+    feed: DataFrame, path: str, owner: str | None = None, batch: str | None = None
+) -> None:
+    """Adds the rows of one ordered feed batch to the tables under ``path``.
+
+    ``owner`` names who loads, ``batch`` what is loaded; a replay has the same names.
+    """
     spark = feed.sparkSession
+    owner = owner or uuid.uuid4().hex
+    batch = f"{owner}-{batch or 0}"
+    stage = f"{path}/_stage/{batch}"
     with using_conf(spark, WIDE_ROW_CONF):
-        clean = materialise(clean_rows(feed), f"{path}/_stage/batch_clean")
-    if clean.isEmpty():
-        return
-    incoming = build_from_clean(
-        clean, lambda rows: materialise(rows, f"{path}/_stage/batch_chart_rows")
-    )
+        rows = materialise(rejects.judged(feed), f"{stage}/rows")
+    with folders.exclusive(spark, path, owner):
+        rejects.write(rows, path, batch)
+        clean = rejects.kept(rows)
+        if not clean.isEmpty():
+            _append(spark, clean, path, stage)
+    folders.remove(spark, stage)
+
+
+def _append(spark: SparkSession, clean: DataFrame, path: str, stage: str) -> None:
+    """Rows with unknown keys to all tables, and the rollups of the months they touch."""
+    incoming = build_from_clean(clean, lambda rows: materialise(rows, f"{stage}/chart_rows"))
+    # As many as the feed has months.
     months = [
         row[0] for row in clean.select(F.trunc("snapshot_date", "MM")).distinct().collect()
     ]
@@ -53,7 +74,11 @@ def load_batch(feed: DataFrame, path: str) -> None:
         name: append_new(known(name), table, NATURAL_KEYS[name], null_safe=name in _NULL_SAFE)
         for name, table in incoming.items()
     }
+    for name in DIMENSIONS:
+        fresh[name] = materialise(fresh[name], f"{stage}/{name}")
+    check_keys({n: fresh[n] for n in DIMENSIONS}, {n: known(n) for n in DIMENSIONS})
     write_tables(fresh, path, mode="append")
+    marts.refresh(spark, path, months)
 
 
 def start_ingest(
@@ -64,6 +89,7 @@ def start_ingest(
     columns: Sequence[str] = FEED_COLUMNS,
     null_tokens: Sequence[str] = ("",),
     max_files: int = 200,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Loads the files that have arrived in ``in_dir`` since the last run, then stops.
 
@@ -71,13 +97,14 @@ def start_ingest(
     change the tables.
     """
     create_missing(spark, path)
+    owner = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            load_batch(with_input_order(batch), path)
+            load_batch(with_input_order(batch), path, owner, str(batch_id))
 
     return (
-        stream_feed(spark, in_dir, columns, null_tokens, max_files)
+        stream_feed(spark, in_dir, columns, null_tokens, max_files, multi_line)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -8,9 +8,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from chartmart.plans import marts, rejects
 from chartmart.plans.warehouse import build_warehouse
-from chartmart.sources.feed import FEED_COLUMNS, PANDAS_NULL_TOKENS, read_feed
-from chartmart.sources.tables import SCHEMAS, export_csv, read_table
+from chartmart.session import using_conf
+from chartmart.sources.feed import FEED_COLUMNS, PANDAS_NULL_TOKENS, SEQ, read_feed
+from chartmart.sources.tables import MARTS, SCHEMAS, export_csv, read_table
 from chartmart.streaming.ingest import start_ingest
 from tests.feeds import DEFAULTS
 
@@ -30,7 +32,7 @@ def bag(df, *cols):
 
 def test_columns_are_taken_by_name(spark, tmp_path):
     write_csv(tmp_path / "a.csv", [{"name": 'say "hi", you\ntwo lines'}], [*reversed(FEED_COLUMNS), "extra"])
-    row = read_feed(spark, str(tmp_path)).first()
+    row = read_feed(spark, str(tmp_path), multi_line=True).first()
     assert (row.name, row.spotify_id, row.country) == ('say "hi", you\ntwo lines', "s1", "VN")
 
 
@@ -40,6 +42,34 @@ def test_missing_columns_are_reported(spark, tmp_path):
         read_feed(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("column", [FEED_COLUMNS[1], FEED_COLUMNS[-1]])
+def test_line_breaks_in_quotes_stop_a_scan_by_lines(spark, tmp_path, column):
+    write_csv(tmp_path / "broken.csv", [{}, {column: 'say "hi",\nagain'}, {}])
+    for action in (lambda df: df.count(), lambda df: df.collect()):
+        with pytest.raises(Exception, match="broken.csv"):
+            action(read_feed(spark, str(tmp_path)))
+    assert read_feed(spark, str(tmp_path), multi_line=True).count() == 3
+
+
+def test_rows_of_another_length_are_kept(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [{"name": 'say "hi"'}])
+    with open(tmp_path / "a.csv", "a") as out:
+        out.write("s2,Short\ns3,Long" + ",1" * 40 + "\n")
+    feed = read_feed(spark, str(tmp_path))
+    assert feed.count() == 3
+    assert bag(feed, "spotify_id", "name") == [("s1", 'say "hi"'), ("s2", "Short"), ("s3", "Long")]
+
+
+def test_a_large_file_is_split(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [{"popularity": str(i % 100)} for i in range(3000)])
+    with using_conf(spark, {"spark.sql.files.maxPartitionBytes": "50000"}):
+        feed = read_feed(spark, str(tmp_path))
+        assert feed.rdd.getNumPartitions() > 3
+        assert feed.count() == 3000
+        seen = [r.popularity for r in feed.orderBy(SEQ).select("popularity").collect()]
+    assert seen == [str(i % 100) for i in range(3000)]
+
+
 def test_null_tokens(spark, tmp_path):
     write_csv(tmp_path / "a.csv", [{"name": "None", "country": "NA", "artists": ""}])
     kept = read_feed(spark, str(tmp_path)).first()
@@ -85,7 +115,7 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("cuts", [(25, 60)])
+@pytest.mark.parametrize("cuts", [(7, 33, 60)])
 def test_incremental_load_equals_full_build(spark, tmp_path, cuts):
     arrived = tmp_path / "in"
     arrived.mkdir()
@@ -106,8 +136,14 @@ def test_incremental_load_equals_full_build(spark, tmp_path, cuts):
         sizes[name] = got.count()
         cols = [c for c in got.columns if c != "created_at"]
         assert bag(got, *cols) == bag(want[name], *cols), name
+    for name in MARTS:
+        got = read_table(spark, wh, name)
+        assert bag(got, *got.columns) == bag(marts.rollup(want, name), *got.columns), name
+        sizes[name] = got.count()
     load("another checkpoint: all files again")
-    assert {name: read_table(spark, wh, name).count() for name in SCHEMAS} == sizes
+    assert {name: read_table(spark, wh, name).count() for name in (*SCHEMAS, *MARTS)} == sizes
+    loads = rejects.read(spark, wh, "loads").groupBy().sum().first()
+    assert loads["sum(rows_read)"] == 2 * len(ROWS) == loads["sum(rows_kept)"]
 
 
 def test_export(spark, tmp_path):
