@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Unicode white space plus the four ASCII separators, which Java leaves out of \s.
 _SPACES = r"(?U)[\s\x1c-\x1f]+"
-_MAX_DOUBLE = 1.7976931348623157e308
+MAX_DOUBLE = 1.7976931348623157e308
 
 # Tried in order; the first that parses wins. Brackets are alternatives: compact
 # and slashed days, and ISO years, months, days and times; then slashed and dashed
@@ -47,8 +47,8 @@ def in_range(
     number: Column, lo: float | None = None, hi: float | None = None, default: float | None = None
 ) -> Column:
     """Finite number within [lo, hi]; anything else becomes ``default``."""
-    low = -_MAX_DOUBLE if lo is None else float(lo)
-    high = _MAX_DOUBLE if hi is None else float(hi)
+    low = -MAX_DOUBLE if lo is None else float(lo)
+    high = MAX_DOUBLE if hi is None else float(hi)
     fallback = F.lit(None if default is None else float(default)).cast("double")
     return F.when(number.between(low, high), number).otherwise(fallback)
 

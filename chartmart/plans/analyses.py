@@ -16,6 +16,7 @@ from chartmart.operators.aggregate import partial
 from chartmart.operators.joins import star
 from chartmart.operators.rows import down, on_day, recent, top_k, with_previous
 from chartmart.plans.catalogue import latest_day
+from chartmart.plans.marts import rollup
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,9 +39,14 @@ def _artist_keys(rows: DataFrame) -> DataFrame:
     return rows.select(*GRAIN, "artist_key")
 
 
-def _song_artists(t: Tables) -> DataFrame:
-    """Distinct artists of each song."""
-    return t["fact_artist_stats"].select("song_key", "artist_key").distinct()
+def _with_artist_keys(songs: DataFrame, t: Tables) -> DataFrame:
+    """``songs`` once per artist that the rollup lists for them."""
+    listed = rollup(t, "agg_song_month").select("song_key", "artists")
+    return (
+        songs.join(listed, "song_key")
+        .select(*songs.columns, F.explode("artists").alias("artist_key"))
+        .distinct()
+    )
 
 
 def top_songs_in_country(
@@ -140,7 +146,7 @@ def workout_playlist(
 ) -> DataFrame:
     """Energetic, danceable, fast songs with their artists."""
     listed = star(
-        _lively(t, energy, danceability, tempo).join(_song_artists(t), "song_key"),
+        _with_artist_keys(_lively(t, energy, danceability, tempo), t),
         {"song_key": _songs(t), "artist_key": _artists(t)},
     ).select("song_name", "artist_name", "energy", "danceability", "tempo")
     order = [

@@ -21,6 +21,7 @@ from chartmart.plans.transform import label_feed
 from chartmart.sources.feed import SEQ
 
 GRAIN = ("song_key", "date_key", "country_key")
+NO_ALBUM_PLACES = 1000
 ARTIST_GRAIN = ("artist_key", *GRAIN)
 
 
@@ -66,7 +67,12 @@ def resolve_keys(clean: DataFrame, dims: Mapping[str, DataFrame] | None = None)
     rows = lookup(rows, songs, ["spotify_id"])
     rows = lookup(rows, days, ["snapshot_date"])
     rows = lookup(rows, countries, ["country_code"], "left", default=fallback)
-    rows = lookup(rows, albums, ["album_name", "album_release_date"], "left", null_safe=True)
+    # Rows without an album match none: spread, they are not one key in the join.
+    place = F.pmod(F.xxhash64("song_key", "snapshot_date", "country_key"), F.lit(NO_ALBUM_PLACES))
+    rows = rows.withColumn("_place", F.when(F.isnull("album_name"), place).otherwise(-1))
+    albums = albums.withColumn("_place", F.lit(-1).cast("bigint"))
+    album = ["album_name", "album_release_date", "_place"]
+    rows = lookup(rows, albums, album, "left", null_safe=True).drop("_place")
     return lookup(rows, combos, ["feature_labels"], "left")
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmart.functions import clean as c
-from chartmart.plans.transform import FEED_RULES, REQUIRED, Number, clean_feed
+from chartmart.plans.transform import FEED_RULES, REQUIRED, Number, clean_rows
 from chartmart.sources.feed import FEED_COLUMNS
 
-RAW, REASONS, DROPPED = "_raw", "_reasons", "_dropped"
+REASONS = "_reasons"
 FALSE_WORDS = ("false", "0", "no", "f")
 QUARANTINE = ", ".join(f"{name} string" for name in FEED_COLUMNS) + (
     ", dropped boolean, reasons array<string>, batch string"
@@ -27,19 +27,16 @@ LOADS = (
 )
 
 
-def _unused(name: str, raw: Column, value: Column) -> Column:
-    """Whether a cell with content gave way to a default."""
+def _unused(name: str, raw: Column) -> Column:
+    """Whether the rule of a column cannot use a cell with content."""
     rule = FEED_RULES[name]
     if isinstance(rule, Number):
-        low, high = (F.lit(x).cast("double") for x in (rule.lo, rule.hi))
         number = c.to_number(raw)
-        fits = F.coalesce(number >= low, F.lit(True)) & F.coalesce(number <= high, F.lit(True))
-        # Parsed a second time only where the default stands.
-        return value.eqNullSafe(F.lit(rule.default)) & ~F.coalesce(
-            F.when(number.isNotNull() & ~F.isnan(number), fits), F.lit(False)
-        )
+        low = -c.MAX_DOUBLE if rule.lo is None else float(rule.lo)
+        high = c.MAX_DOUBLE if rule.hi is None else float(rule.hi)
+        return ~F.coalesce(number.between(low, high), F.lit(False))
     if rule is c.clean_date:
-        return value.isNull()
+        return c.clean_date(raw).isNull()
     if rule is c.clean_mode:
         return c.to_number(raw).isNull()
     if rule is c.clean_boolean:
@@ -48,42 +45,38 @@ def _unused(name: str, raw: Column, value: Column) -> Column:
 
 
 def judged(feed: DataFrame) -> DataFrame:
-    """Cleaned rows, also incomplete ones, with reasons and, where there are any, the raw cells."""
-    names = [n for n in FEED_COLUMNS if n in feed.columns]
-    cleaned = clean_feed(feed.withColumn(RAW, F.struct(*names)))
+    """Feed rows with a list of reasons; each test reads its raw cell alone, once."""
     reasons = []
-    for name in names:
-        raw = F.col(f"{RAW}.{name}")
-        has = F.length(F.trim(F.coalesce(raw, F.lit("")))) > 0
-        wrong = has & _unused(name, raw, F.col(name))
+    for name in FEED_COLUMNS:
+        raw = F.col(name)
+        has = F.length(F.trim(raw)) > 0
+        wrong = has & _unused(name, raw)
         if name in REQUIRED:
-            wrong = wrong | F.col(name).isNull()
+            wrong = wrong | ~F.coalesce(has, F.lit(False))
         text = F.concat(F.lit(f"{name}: "), F.coalesce(raw, F.lit("")))
         reasons.append(F.when(wrong, text))
-    dropped = F.lit(False)
-    for name in REQUIRED:
-        dropped = dropped | F.col(name).isNull()
-    listed = F.filter(F.array(*reasons), lambda reason: reason.isNotNull())
-    marked = cleaned.withColumns({REASONS: listed, DROPPED: dropped})
-    return marked.withColumn(RAW, F.when(F.size(REASONS) > 0, F.col(RAW)))
+    return feed.withColumn(REASONS, F.array_compact(F.array(*reasons)))
 
 
 def kept(rows: DataFrame) -> DataFrame:
     """The clean rows of ``judged`` ones."""
-    return rows.filter(~F.col(DROPPED)).drop(RAW, REASONS, DROPPED)
+    return clean_rows(rows.drop(REASONS))
+
+
+def _dropped() -> Column:
+    """A required cell is among the reasons."""
+    return F.exists(REASONS, lambda reason: F.split_part(reason, F.lit(":"), F.lit(1)).isin(*REQUIRED))
 
 
 def quarantine(rows: DataFrame) -> DataFrame:
     """Raw cells of the rows with reasons."""
     found = rows.filter(F.size(REASONS) > 0)
-    return found.select(
-        f"{RAW}.*", F.col(DROPPED).alias("dropped"), F.col(REASONS).alias("reasons")
-    )
+    return found.select(*FEED_COLUMNS, _dropped().alias("dropped"), F.col(REASONS).alias("reasons"))
 
 
 def counts(rows: DataFrame) -> DataFrame:
     """One row: rows read, kept, dropped and kept with replaced values, and replaced values."""
-    dropped, size = F.col(DROPPED), F.size(REASONS).cast("bigint")
+    dropped, size = _dropped(), F.size(REASONS).cast("bigint")
     return rows.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(~dropped).alias("rows_kept"),

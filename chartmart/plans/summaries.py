@@ -32,11 +32,11 @@ def artist_tier_sizes(t: Tables, cut: int | None = None) -> DataFrame:
     return q.artist_followers(t, n=cut).groupBy("artist_tier").agg(F.count(F.lit(1)).alias("count"))
 
 
-def regional_moods(t: Tables, k: int = 10, cut: int | None = 100) -> DataFrame:
+def regional_moods(t: Tables, k: int = 10, cut: int | None = None) -> DataFrame:
     """Moods of the ``k`` regions with most rows.
 
-    ``cut`` limits the regional result first, as the dashboard does; ``None``
-    takes all regions into account.
+    ``cut`` limits the regional result first, as a dashboard would (100 rows);
+    without it all regions count.
     """
     moods = (
         q.regional_music_preferences(t, n=cut)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 import uuid
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,14 +76,16 @@ def check_keys(dims: Mapping[str, DataFrame], known: Mapping[str, DataFrame] | N
     ``dims`` are looked through on their own and, as new members, against the ``known`` dimensions:
     these have none of their natural keys, so an equal surrogate key is a collision.
     """
+    found = []
     for name, dim in dims.items():
         key = SCHEMAS[name].split()[0]
         shared = colliding_keys(dim, key).select(key)
         if known is not None:
             shared = shared.union(keep_keys(dim, known[name], [key]).select(key))
-        found = shared.first()
-        if found:
-            raise ValueError(f"{name}: different natural keys share the {key} {found[0]}")
+        found.append(shared.select(F.lit(name).alias("name"), F.col(key).alias("key")))
+    first = reduce(DataFrame.union, found).first()
+    if first:
+        raise ValueError(f"{first.name}: different natural keys share the key {first.key}")
 
 
 def write_warehouse(feed: DataFrame, path: str) -> dict[str, DataFrame]:

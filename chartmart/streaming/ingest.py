@@ -50,9 +50,9 @@ def load_batch(
     stage = f"{path}/_stage/{batch}"
     with using_conf(spark, WIDE_ROW_CONF):
         rows = materialise(rejects.judged(feed), f"{stage}/rows")
+        clean = materialise(rejects.kept(rows), f"{stage}/clean")
     with folders.exclusive(spark, path, owner):
         rejects.write(rows, path, batch)
-        clean = rejects.kept(rows)
         if not clean.isEmpty():
             _append(spark, clean, path, stage)
     folders.remove(spark, stage)

@@ -10,10 +10,11 @@ from chartmart.functions import classify as k
 from chartmart.functions import clean as c
 from chartmart.functions.keys import with_key
 from chartmart.operators.append import append_new
-from chartmart.plans import dims, facts
+from chartmart.plans import dims, facts, rejects
 from chartmart.plans.registry import run
 from chartmart.plans.transform import (
     FEED_RULES,
+    Number,
     clean_feed,
     clean_rows,
     dedupe_feed,
@@ -257,6 +258,33 @@ def c8(t):
     return clean_feed(t["feed"], FEED_RULES).drop("_seq")
 
 
+_RANGES = {
+    n: (rule.lo, rule.hi) for n, rule in FEED_RULES.items() if isinstance(rule, Number)
+}
+_UNUSED = {
+    **{
+        n: f"TRIM({n}) <> '' AND NOT COALESCE(TRY_CAST({n} AS DOUBLE) BETWEEN {lo} AND {hi}, FALSE)"
+        for n, (lo, hi) in _RANGES.items()
+    },
+    "snapshot_date": f"{day('snapshot_date')} IS NULL",
+    "album_release_date": f"TRIM(album_release_date) <> '' AND {day('album_release_date')} IS NULL",
+    "spotify_id": "COALESCE(spotify_id, '') = ''",
+    "name": f"{text('name')} IS NULL",
+}
+
+
+@CHECKS.on_tables(
+    "c9_rejects_by_column",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS column_name, COUNT(*) AS n FROM feed WHERE {test} HAVING COUNT(*) > 0"
+        for n, test in _UNUSED.items()
+    ),
+)
+def rejects_by_column(t):
+    reasons = rejects.quarantine(rejects.judged(t["feed"])).select(F.explode("reasons").alias("r"))
+    return counted(reasons, column_name=F.split_part("r", F.lit(":"), F.lit(1)))
+
+
 @CHECKS.on_tables("c9_drop_incomplete", _grouped("snapshot_date", "clean"))
 def c9(t):
     return counted(drop_incomplete(clean_feed(t["feed"])), snapshot_date=F.col("snapshot_date"))

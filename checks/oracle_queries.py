@@ -351,6 +351,12 @@ SUMMARIES = {
                  ORDER BY SUM(song_count) DESC, region LIMIT 10)
         SELECT region, mood, CAST(SUM(song_count) AS BIGINT) AS song_count
         FROM regional WHERE region IN (SELECT region FROM best) GROUP BY region, mood""",
+    "g4_regional_moods_all": f"""
+        WITH regional AS ({_whole(REGIONAL)}),
+        best AS (SELECT region FROM regional GROUP BY region
+                 ORDER BY SUM(song_count) DESC, region LIMIT 10)
+        SELECT region, mood, CAST(SUM(song_count) AS BIGINT) AS song_count
+        FROM regional WHERE region IN (SELECT region FROM best) GROUP BY region, mood""",
     "g5_popularity_by_energy": _second("energy_level"),
     "g6_popularity_by_danceability": _second("danceability_level"),
     "g7_explicit_types": f"""

@@ -72,7 +72,8 @@ QUERIES: dict[str, Query] = {
     "g2_energy_dance_matrix_all": on_tables(summaries.energy_dance_matrix),
     "g3_artist_tier_sizes": on_tables(summaries.artist_tier_sizes, cut=50),
     "g3_artist_tier_sizes_all": on_tables(summaries.artist_tier_sizes),
-    "g4_regional_moods": on_tables(summaries.regional_moods),
+    "g4_regional_moods": on_tables(summaries.regional_moods, cut=100),
+    "g4_regional_moods_all": on_tables(summaries.regional_moods),
     "g5_popularity_by_energy": on_tables(
         summaries.popularity_by_energy, "avg_popularity", cut=30
     ),

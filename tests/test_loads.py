@@ -138,7 +138,7 @@ def _sizes(spark, path):
     return {name: df.count() for name, df in open_warehouse(spark, path).items()}
 
 
-@pytest.mark.parametrize("failing", ["dim_album", "fact_audio_analysis", "agg_artist_month"])
+@pytest.mark.parametrize("failing", ["dim_album", "agg_artist_month"])
 def test_a_rebuild_that_fails_leaves_the_old_tables(spark, tmp_path, monkeypatch, failing):
     path = str(tmp_path / "wh")
     write_warehouse(feed(spark, *charts()), path)
