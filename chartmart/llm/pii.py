@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -389,8 +390,21 @@ def further_spans(part: Nodes, known: np.ndarray, posterior: np.ndarray, text: s
 
 
 def _apart(spans: list[Span], base: list[Span]) -> list[Span]:
-    taken = sorted((a, b) for _, a, b in base)
-    return [s for s in spans if not any(a < s[2] and s[1] < b for a, b in taken)]
+    """The spans that overlap no base span: each looks at one of the merged stretches only."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    out = []
+    for span in spans:
+        i = bisect_right(ends, span[1])
+        if i == len(ends) or starts[i] >= span[2]:
+            out.append(span)
+    return out
 
 
 def spans_of(texts: list[str], model: Field) -> list[tuple[list[Span], list[Span]]]:

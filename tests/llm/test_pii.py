@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from chartmart.llm import pii
@@ -102,3 +103,18 @@ def test_query_columns_and_odd_rows(clash, odd_rows, empty):
 def test_messages_reach_along_skip_edges():
     part = pii.nodes("alpha1 beta2 gamma3 alpha1")
     assert part.skip == [(0, 3)] and (0, 1) in part.chain
+
+
+def test_spans_apart_from_overlapping_base_spans():
+    rng = random.Random(6)
+    for _ in range(300):
+        draw = lambda n: [
+            (rng.randrange(4), a, a + rng.randint(1, 9)) for a in (rng.randrange(80) for _ in range(n))
+        ]
+        spans, base = draw(12), draw(rng.randrange(8))
+        want = [s for s in spans if not any(a < s[2] and s[1] < b for _, a, b in base)]
+        assert pii._apart(spans, base) == want
+    many = [(0, i * 10, i * 10 + 5) for i in range(100_000)]
+    assert pii._apart([(1, a + 5, a + 9) for _, a, _ in many], many) == [
+        (1, a + 5, a + 9) for _, a, _ in many
+    ]
