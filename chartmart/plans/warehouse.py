@@ -127,7 +127,7 @@ def register(tables: Mapping[str, DataFrame]) -> None:
 class OnDemandWarehouse(Mapping[str, DataFrame]):
     """Tables that are built and written when they are first asked for.
 
-    Besides the eleven tables and the rollups it offers the stages ``feed``, ``clean`` and
+    It lists the eleven tables and also offers the rollups and the stages ``feed``, ``clean`` and
     ``chart_rows``. A query then pays only for what it reads, and the next one
     finds it on storage.
     """
@@ -148,10 +148,10 @@ class OnDemandWarehouse(Mapping[str, DataFrame]):
             return self._ready[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter((*SCHEMAS, *MARTS))
+        return iter(SCHEMAS)
 
     def __len__(self) -> int:
-        return len(SCHEMAS) + len(MARTS)
+        return len(SCHEMAS)
 
     def path_of(self, *names: str) -> str:
         """The folder, after making sure that the named tables are in it."""
