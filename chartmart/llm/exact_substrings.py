@@ -31,7 +31,7 @@ from chartmart.llm.common import settle
 
 LENGTH = 200
 GRAM = 32
-SHARE = 100_000  # occurrences of one gram that are sorted together
+SHARE = 8_000  # occurrences of one gram that are sorted together
 BLOCK_BYTES = 1_500_000  # a block's arrays stay in the processor's cache
 
 _GRAMS = LENGTH - GRAM + 1  # grams in a window
