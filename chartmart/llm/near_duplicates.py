@@ -15,6 +15,15 @@ Both are linear in the number of classes: a group of any size gives a few candid
 tree. Candidates that signatures show to be far below the threshold go, with a margin of five
 standard errors; the others are confirmed on their whole texts. Links then form components.
 
+That settles most regions; the rest is searched in full. Regions of the least depth with the same
+pivot are one crowd, so the trees do not repeat each other. A crowd whose members lie in two or more
+components is dealt to blocks of bounded size, by hash; pairs of blocks compare whole shingle sets of
+members of different components. The largest component of a crowd is not compared with itself, so one
+that holds nearly the whole crowd costs a row per member. Every two classes that share
+``LEAST_DEPTH`` values in a tree are thus either compared or in one component already, whatever the
+size of the group and the number of partitions. A pair at a similarity of 0.85 shares them in one of
+the 16 trees but for a chance of 3e-7 (0.80: 1e-5).
+
 Defined cases: words are runs of other than ASCII white space, A-Z in lower case; fewer words than a
 shingle form one shingle; null, empty and blank texts have none and are linked with nothing, also not
 with each other; repeated rows each get a row, and their doc_id counts as one document.
@@ -41,6 +50,8 @@ LINK_PERCENT = 85
 TREES, DEPTH, LEAST_DEPTH = 16, 6, 3
 NEIGHBOURS = 4
 MARGIN = 5.0
+# Shingles of a searched block; a document counts as BLOCK_DOC more, which bounds its documents.
+BLOCK, BLOCK_DOC = 400_000, 200
 _BLOCK = 4096  # shingles hashed at once
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -154,34 +165,38 @@ def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
 
-def _pivots(trees: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each class with the pivot of its regions."""
+def _pivots(trees: DataFrame, depth: int) -> DataFrame:
+    """(pivot, m, doc, n) for each class and each pivot of its regions at ``depth``."""
     leaves = trees.groupBy("tree", "key").agg(F.count("*").alias("size"))
     shared = leaves.where("size > 1")
     recur = trees.join(shared, ["tree", "key"]).groupBy("doc").agg(F.sum("size").alias("recurs"))
     held = trees.join(recur, "doc", "left").withColumn("recurs", F.coalesce("recurs", F.lit(0)))
-    out = None
-    for depth in (LEAST_DEPTH, DEPTH):
-        part = held.withColumn("key", F.substring("key", 1, 4 * depth))
-        best = F.max(F.struct("recurs", (-F.col("doc")).alias("doc"), F.col("n").alias("m")))
-        top = part.groupBy("tree", "key").agg(best.alias("top"), F.count("*").alias("size"))
-        top = top.where("size > 1").select("tree", "key", (-F.col("top.doc")).alias("pivot"), "top.m")
-        pairs = part.join(top, ["tree", "key"]).where("doc <> pivot")
-        low, high = F.least("n", "m"), F.greatest("n", "m")
-        pairs = pairs.where(100 * low >= percent * high)
-        pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
-        out = pairs if out is None else out.union(pairs)
-    return out
-
-
-def candidates(classes: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
-    """Distinct pairs (a, b) of classes (doc, n, signature) that the forest brings together."""
+    part = held.withColumn("key", F.substring("key", 1, 4 * depth))
+    best = F.max(F.struct("recurs", (-F.col("doc")).alias("doc"), F.col("n").alias("m")))
+    top = part.groupBy("tree", "key").agg(best.alias("top"), F.count("*").alias("size"))
+    top = top.where("size > 1").select("tree", "key", (-F.col("top.doc")).alias("pivot"), "top.m")
+    own = part.join(top, ["tree", "key"]).where("doc <> pivot")
+    return own.select("pivot", "m", "doc", "n").distinct()
+
+
+def crowded(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sorted trees of the classes (doc, n, signature) and the crowds (pivot, m, doc, n)."""
     trees = _forest(classes)
+    return trees, settle(_pivots(trees, LEAST_DEPTH), "crowds")
+
+
+def candidates(
+    classes: DataFrame, trees: DataFrame, crowds: DataFrame, percent: int = LINK_PERCENT
+) -> DataFrame:
+    """Distinct pairs (a, b) of classes with neighbours in a tree and with pivots."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = trees.repartitionByRange(parts, "tree", "key", "doc")
     ordered = ordered.sortWithinPartitions("tree", "key", "doc")
     pairs = ordered.mapInArrow(partial(_neighbours, percent=percent), _PAIR)
-    pairs = pairs.union(_pivots(trees, percent)).distinct()
+    low, high = F.least("n", "m"), F.greatest("n", "m")
+    pivots = crowds.union(_pivots(trees, DEPTH)).where(100 * low >= percent * high)
+    pivots = pivots.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
+    pairs = pairs.union(pivots).distinct()
     s = classes.select("doc", "sketch")
     pairs = pairs.join(s.withColumnsRenamed({"doc": "a", "sketch": "sa"}), "a")
     pairs = pairs.join(s.withColumnsRenamed({"doc": "b", "sketch": "sb"}), "b")
@@ -232,6 +247,101 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = LINK_PERCENT) ->
     return both.mapInArrow(partial(_confirm, percent=percent), _PAIR)
 
 
+def _cells(crowds: DataFrame, roots: DataFrame) -> DataFrame:
+    """(pivot, lo, hi, at, doc, root): members of unsettled crowds in each pair of blocks to compare.
+
+    Blocks ``0 … few - 1`` hold the members outside the crowd's largest component, the following ones
+    that component; those are compared with the former only.
+    """
+    named = crowds.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    named = named.select("pivot", "doc", F.coalesce("root", "doc").alias("root"), "n")
+    weight = F.sum(F.col("n") + BLOCK_DOC).alias("weight")
+    parts = named.groupBy("pivot", "root").agg(weight)
+    whole = parts.groupBy("pivot").agg(
+        F.max(F.struct("weight", "root")).alias("main"),
+        F.sum("weight").alias("weight"),
+        F.count("*").alias("roots"),
+    )
+    blocks = lambda w: F.ceil(w / BLOCK)
+    whole = whole.where("roots > 1").select(
+        "pivot",
+        F.col("main.root").alias("main"),
+        blocks(F.col("weight") - F.col("main.weight")).alias("few"),
+        blocks(F.col("main.weight")).alias("many"),
+    )
+    dealt = named.join(whole, "pivot").withColumn("is_main", F.expr("root = main"))
+    at = F.expr("if(is_main, few + pmod(xxhash64(doc), many), pmod(xxhash64(doc), few))")
+    others = F.expr("sequence(0L, if(is_main, few, few + many) - 1)")
+    dealt = dealt.select("pivot", "doc", "root", at.alias("at"), F.explode(others).alias("other"))
+    return dealt.select(
+        "pivot", F.least("at", "other").alias("lo"), F.greatest("at", "other").alias("hi"), "at", "doc", "root"
+    )
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with other ones at ``right``."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    met = count[column] > 1  # by two sets or more: others add to no intersection
+    number = np.cumsum(count > 1) - 1
+    owner, column = owner[met], number[column[met]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    found = np.zeros((len(left), len(right)))
+    width = 1024
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        low, high = np.searchsorted(column, [start, start + width])
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[low:high], column[low:high] - start] = 1
+        found += held[left] @ held[right].T
+    return found
+
+
+def _search(cell: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) of components that similar members of two blocks join, as a spanning forest."""
+    at, lo, hi = (cell.column(c).to_numpy() for c in ("at", "lo", "hi"))
+    root = cell.column("root").to_numpy()
+    sets = [shingle_set(t) for t in cell.column("text").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    left, right = np.flatnonzero(at == lo), np.flatnonzero(at == hi)
+    both = _common(sets, left, right)
+    either = sizes[left][:, None] + sizes[right][None, :] - both
+    alike = (100 * both >= percent * either) & (both > 0)
+    alike &= root[left][:, None] != root[right][None, :]
+    i, j = np.nonzero(alike)
+    joined = np.unique(np.sort(np.stack([root[left[i]], root[right[j]]], 1), axis=1), axis=0)
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    links = []
+    for a, b in joined.tolist():
+        low, high = sorted((top(a), top(b)))
+        if low != high:
+            parent[high] = low
+            links.append((a, b))
+    return pa.table(
+        {"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())}
+    )
+
+
+def searched(
+    crowds: DataFrame, roots: DataFrame, docs: DataFrame, percent: int = LINK_PERCENT
+) -> DataFrame:
+    """Links (a, b) between components (node, root) that the first candidates left apart."""
+    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    cells = _cells(crowds, roots).join(texts.hint("merge"), "doc")
+
+    def search(cell: pa.Table) -> pa.Table:
+        return _search(cell, percent)
+
+    return cells.groupBy("pivot", "lo", "hi").applyInArrow(search, _PAIR)
+
+
 def classified(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """Every row's (doc_id, n_shingles, component_id); links need ``percent`` of equal shingles."""
     rows = settle(signed(docs), "signed")
@@ -243,15 +353,21 @@ def classified(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
         F.first("sketch").alias("sketch"),
     )
     classes = settle(classes, "classes")
-    pairs = settle(candidates(classes, percent), "candidates")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    trees, crowds = crowded(classes)
+    pairs = settle(candidates(classes, trees, crowds, percent), "candidates")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowds.select("doc"))
     # The ids grow with the documents, so they are never broadcast, also where they would fit.
-    one = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
-    links = confirmed(pairs, one, percent)
-    roots = components(links)
+    one = docs.select("doc_id", "text").join(ids.distinct().hint("merge"), "doc_id", "left_semi")
+    one = settle(one, "texts")
+    roots = components(confirmed(pairs, one, percent))
+    moved = components(searched(crowds, roots, one, percent))
+    moved = moved.select(F.col("node").alias("component_id"), F.col("root").alias("to"))
     of_class = classes.join(roots, classes["doc"] == roots["node"], "left").select(
         "set_id", F.coalesce("root", "doc").alias("component_id")
     )
+    of_class = of_class.join(moved, "component_id", "left").select(
+        "set_id", F.coalesce("to", "component_id").alias("component_id")
+    )
     return rows.join(of_class, "set_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -2,8 +2,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from chartmart.llm import near_duplicates as n
 from chartmart.llm.components import components
+from chartmart.session import using_conf
 from tests.llm.conftest import prose
 
 
@@ -53,6 +57,32 @@ def test_hub_of_a_large_group_joins_it(spark):
     assert {r["component_id"] for r in n.classified(docs).collect()} == {0}
 
 
+def apart(base: list[str], copies: int) -> list[tuple[int, str]]:
+    """Copies of a text that is not among them: heavily edited ones, and one in forty lightly."""
+    return [(i, edited(base, 1 if i % 40 == 0 else 3 + i % 3, i)) for i in range(copies)]
+
+
+@pytest.mark.parametrize("parts", [1, 50])
+def test_large_group_without_its_base_text(spark, parts, monkeypatch):
+    # No member is a pivot for the others, and most links join one pair only.
+    rows = apart(prose(8, 200), 400) + [(9_000 + i, t) for i, t in apart(prose(9, 90), 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(n, "BLOCK", 20_000)  # many blocks
+    with using_conf(spark, {"spark.sql.shuffle.partitions": str(parts)}):
+        found = {r["doc_id"]: r["component_id"] for r in n.classified(docs).collect()}
+    assert found == brute(rows)
+    assert 50 < len(set(found.values())) < 440
+
+
+def test_common_counts_every_intersection():
+    rng = random.Random(4)
+    sets = [np.unique(np.array([rng.randrange(3000) for _ in range(k * 90)], np.uint64)) for k in range(1, 9)]
+    left, right = np.array([0, 2, 4]), np.array([1, 3, 7])
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+    assert n._common(sets, left, right).tolist() == want
+    assert n._common([sets[0][:3], sets[1][:0]], np.array([0]), np.array([1])).tolist() == [[0]]
+
+
 def test_odd_rows_and_kept(clash, odd_rows, empty):
     found = n.classified(clash).collect()
     assert len(found) == len(odd_rows)
