@@ -39,35 +39,50 @@ BANDS = (16, 20, 24, 32, 48, 80)  # lower ends of the length bands
 ALPHA = 0.01
 BIN, BINS = 0.25, 400
 MASK = "[SECRET]"
+CHUNK = 1024  # code points of a text cut at once
 
 _NONE = "array<struct<start:int,end:int,kind:int>>"
 
 
+def _running(values: Column, join) -> Column:
+    """Running results of ``join`` (associative, 0 neutral) over an array of integers.
+
+    Each round joins every value with the one twice as far before it, so an array of n costs
+    n log n steps; appending to an array copies it, which costs n squared.
+    """
+    far = F.array(*[F.lit(2**k) for k in range(31)])
+    before = lambda xs, k: F.concat(
+        F.array_repeat(F.lit(0), k), F.slice(xs, F.lit(1), F.size(xs) - k)
+    )
+    return let(
+        values,
+        lambda xs: F.aggregate(
+            F.filter(far, lambda k: k < F.size(xs)),
+            xs,
+            lambda ys, k: F.zip_with(ys, before(ys, k), join),
+        ),
+    )
+
+
+def _further(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """Matches with their code point positions: (start, end, match)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    walk = lambda m, b: F.aggregate(
-        F.zip_with(m, F.slice(b, 1, F.size(m)), lambda x, y: F.struct(x.alias("m"), y.alias("b"))),
-        F.struct(
-            F.lit(0).alias("end"),
-            F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"),
-        ),
-        lambda s, x: let(
-            s["end"] + F.char_length(x["b"]),
-            lambda at: F.struct(
-                (at + F.char_length(x["m"])).alias("end"),
-                F.array_append(
-                    s["out"],
-                    F.struct(
-                        at.alias("start"), (at + F.char_length(x["m"])).alias("end"), x["m"].alias("m")
-                    ),
-                ).alias("out"),
-            ),
-        ),
-        lambda s: s["out"],
+    lengths = lambda m: F.zip_with(
+        m,
+        F.slice(between, F.lit(1), F.size(m)),
+        lambda x, y: F.char_length(x) + F.char_length(y),
+    )
+    placed = lambda x, end: F.struct(
+        (end - F.char_length(x)).alias("start"), end.alias("end"), x.alias("m")
+    )
+    return let(
+        found, lambda m: F.zip_with(m, _running(lengths(m), lambda x, y: x + y), placed)
     )
-    return let(found, lambda m: let(between, lambda b: walk(m, b)))
 
 
 def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -180,18 +195,48 @@ def statistic(run: Column) -> Column:
     return let(_size_of_alphabet(run), lambda k: let(places(k), lambda xs: combined(xs, k)))
 
 
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no span: those that no span beginning before their end reaches into.
+
+    Spans by start and runs by end are sorted together; the furthest end of a span so far decides.
+    """
+    none = F.lit("")
+    events = F.concat(
+        F.transform(
+            runs,
+            lambda x: F.struct(
+                x["end"].alias("at"), F.lit(0).alias("reach"), x["start"].alias("start"), x["m"].alias("m")
+            ),
+        ),
+        F.transform(
+            base,
+            lambda x: F.struct(
+                x["start"].alias("at"), x["end"].alias("reach"), F.lit(-1).alias("start"), none.alias("m")
+            ),
+        ),
+    )
+    free = lambda es: F.filter(
+        F.zip_with(
+            es,
+            _running(F.transform(es, lambda e: e["reach"]), _further),
+            lambda e, furthest: F.when(
+                (e["start"] >= 0) & (furthest <= e["start"]),
+                F.struct(e["start"].alias("start"), e["at"].alias("end"), e["m"].alias("m")),
+            ),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    return let(F.array_sort(events), free)
+
+
 def tested_runs(text: Column, base: Column) -> Column:
     """Runs outside pattern spans: (start, end, band, statistic, word), word for ordinary words."""
-    apart = lambda x, bs: ~F.exists(
-        bs, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])
-    )
     kinds = lambda x: x["m"].rlike("^[A-Za-z][a-z]+$") | x["m"].rlike(
         "^(?=.*[0-9])(?=.*[A-Za-z])"
     )
     # The optimiser may put the spans' own expression in place of ``base``: it must stand once.
-    located = let(
-        base, lambda bs: F.filter(_located(text, RUN), lambda x: apart(x, bs) & kinds(x))
-    )
+    runs = F.filter(_located(text, RUN), kinds)
+    located = let(base, lambda bs: F.when(F.size(bs) == 0, runs).otherwise(_apart(runs, bs)))
     band = lambda n: sum(((n >= b).cast("int") for b in BANDS[1:]), F.lit(0))
     tested = F.transform(
         located,
@@ -279,28 +324,35 @@ def written(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span, or run of overlapping spans, replaced by ``MASK``."""
-    pieces = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda s, x: F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(
-                (x["start"] < s["at"]) & (F.size(s["out"]) > 0), s["out"]
-            )
-            .otherwise(
-                F.array_append(
-                    F.array_append(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"])),
-                    F.lit(MASK),
-                )
-            )
-            .alias("out"),
-        ),
-        lambda s: F.concat(
-            F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.lit(2**31 - 1))
-        ),
+    """The text with every span, or run of overlapping spans, replaced by ``MASK``.
+
+    A substring walks its text from the start, so pieces are cut from the chunks they lie in.
+    """
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def cut(cs: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / CHUNK).cast("int")
+        held = F.slice(cs, first + 1, F.ceil(end / CHUNK).cast("int") - first)
+        piece = F.substring(F.array_join(held, ""), start - first * CHUNK + 1, end - start)
+        return F.when(start < end, piece).otherwise("")
+
+    def pieces(cs: Column, xs: Column, reach: Column) -> Column:
+        # ``reach``: the furthest end so far, after a 0 for the start of the text.
+        put = F.zip_with(
+            xs,
+            F.slice(reach, F.lit(1), F.size(xs)),
+            lambda x, at: F.when(
+                x["start"] >= at, F.concat(cut(cs, at, x["start"]), F.lit(MASK))
+            ).otherwise(""),
+        )
+        rest = cut(cs, F.element_at(reach, -1), F.char_length(text))
+        return F.concat(F.array_join(put, ""), rest)
+
+    whole = lambda xs: F.concat(
+        F.array(F.lit(0)), _running(F.transform(xs, lambda x: x["end"]), _further)
     )
-    return F.when(F.size(spans) == 0, text).otherwise(pieces)
+    changed = let(spans, lambda xs: let(chunks, lambda cs: let(whole(xs), lambda r: pieces(cs, xs, r))))
+    return F.when(F.size(spans) == 0, text).otherwise(changed)
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -64,3 +64,54 @@ def test_mask_keeps_columns_and_rest_of_text(clash, spark, empty):
     by = {r["doc_id"]: r for r in s.mask(docs).collect()}
     assert by[1]["text"] == 'x [SECRET]" y [SECRET] password = ab' and by[1]["n_chars"] == len(by[1]["text"])
     assert by[2]["text"] is None
+
+
+def plain_mask(text: str, spans: list[tuple[int, int]]) -> str:
+    out, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out.append(text[at:start] + s.MASK)
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_masks_and_runs_among_overlapping_spans(spark):
+    rng = random.Random(11)
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    parts = [
+        lambda: f"token={key(20)}",
+        lambda: f"é😀{key(24)}1a",
+        lambda: f"password: {'0123456789abcdef' * 2}",
+        lambda: f"secret=AKIA{key(18).upper()}",
+        lambda: "plain words",
+        lambda: "x" * rng.randint(1, 1500),
+    ]
+    texts = [" ".join(rng.choice(parts)() for _ in range(rng.randint(0, 40))) for _ in range(30)] + TEXTS
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = s.with_runs(docs).select("_row.doc_id", "_base", "_runs", "_text")
+    held = held.withColumn("new", s.masked(F.col("_text"), F.col("_base")))
+    for row in held.collect():
+        text = texts[row["doc_id"]]
+        base = [(b["start"], b["end"]) for b in row["_base"]]
+        assert row["new"] == plain_mask(text, base)
+        runs = [m.span() for m in re.finditer(s.RUN, text)]
+        want = [
+            (a, b)
+            for a, b in runs
+            if all(e <= a or b <= c for c, e in base)
+            and (
+                re.fullmatch("[A-Za-z][a-z]+", text[a:b])
+                or re.search("[0-9]", text[a:b]) and re.search("[A-Za-z]", text[a:b])
+            )
+        ]
+        assert [(r["start"], r["end"]) for r in row["_runs"]] == want
+
+
+def test_hundred_thousand_matches_in_one_text(spark):
+    text = " ".join(f"token=abc{i:06d} é{i % 7}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    held = s.with_runs(docs).select("_row.doc_id", "_base", "_text")
+    new = s.masked(F.col("_text"), F.col("_base"))
+    rows = {r[0]: (r[1], r[2]) for r in held.select("doc_id", s.written(F.col("_base")), new).collect()}
+    assert rows[1] == (brute(text), plain_mask(text, [m.span() for m in re.finditer("token=abc[0-9]+", text)]))
+    assert rows[2] == rows[3] == ("", "")
