@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from chartmart.functions import clean as c
-from chartmart.plans import facts, marts
+from chartmart.plans import facts, marts, rejects
 from chartmart.plans.transform import clean_rows
 from chartmart.plans.warehouse import write_warehouse
 from chartmart.session import using_conf
+from chartmart.sources.feed import file_order, with_file_numbers
 from chartmart.sources.tables import create_missing, read_table
 from chartmart.streaming import ingest
 from checks.trade_feed import chart_feed
@@ -106,3 +108,73 @@ def test_chart_rows_leave_the_input_order(spark):
     rows = facts.chart_rows(facts.resolve_keys(clean_rows(feed(spark, {}, {"popularity": "3"}))))
     assert "_seq" not in rows.columns
     assert [r.popularity for r in rows.collect()] == [80]
+
+
+def _cells(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_cells_are_parsed_once_for_reasons_and_rules(spark):
+    rows = [
+        {},
+        {"spotify_id": None},
+        {"snapshot_date": "some day", "popularity": "1d"},
+        {"popularity": "x", "tempo": "29", "mode": "major", "album_release_date": "2/13/2020"},
+        {"mode": "0.4", "energy": "Infinity", "liveness": "NaN", "is_explicit": "maybe", "name": "  a \t b "},
+        {"popularity": " ", "country": None, "artists": None, "mode": None, "album_release_date": "bad"},
+    ]
+    source = feed(spark, *rows)
+    once, twice = rejects.cleaned(source), rejects.judged(source)
+    for part in (rejects.kept, rejects.quarantine, rejects.counts):
+        assert part(once).columns == part(twice).columns
+        assert _cells(part(once)) == _cells(part(twice))
+
+
+def test_numbers_with_letters_are_none(values):
+    cells = ["1", " 2.5 ", "1e3", "1d", "1F", "0x1p0", "Infinity", "inf", "", "_", "-.5", "x", None]
+    old = values(lambda x: F.translate(x, "dDfFxXpP", "________").try_cast("double"), cells)
+    assert values(c.to_number, cells) == old == [1, 2.5, 1000, *[None] * 7, -0.5, None, None]
+
+
+def test_order_keeps_numbers_of_files_for_their_paths(spark):
+    at = [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1), None]
+    places = [(s, at[i % 3], f"p{i % 2}", i % 5, i) for i in range(30) for s in (i % 2, None)]
+    kind = "_seq struct<seq: bigint, arrived: timestamp, path: string, block: bigint, row: bigint>"
+    rows = spark.createDataFrame([(p,) for p in places], kind).withColumn("old", F.col("_seq"))
+    short = with_file_numbers(rows, file_order(rows))
+    assert short.schema["_seq"].dataType.names == ["seq", "file", "block", "row"]
+    assert short.count() == len(places)
+    first, second = ([r.old for r in short.orderBy(name).collect()] for name in ("_seq", "old"))
+    assert first == second
+    assert file_order(feed(spark, {})) is None
+
+
+def test_only_months_with_new_rows_get_new_rollups(spark, tmp_path, monkeypatch):
+    made = []
+
+    def noted(session, where, months=None):
+        made.append(months)
+        if broken:
+            raise OSError("broken")
+        refresh(session, where, months)
+
+    broken, refresh = False, marts.refresh
+    monkeypatch.setattr(marts, "refresh", noted)
+    path = str(tmp_path / "wh")
+    create_missing(spark, path)
+    rows = [{"spotify_id": f"s{i}", "snapshot_date": f"2024-0{1 + i}-02"} for i in range(3)]
+    january, february, march = (dt.date(2024, m, 1) for m in (1, 2, 3))
+    ingest.load_batch(feed(spark, *rows), path, "o", "1")
+    assert made == [[january, february, march]]
+    ingest.load_batch(feed(spark, *rows), path, "o", "2")
+    assert len(made) == 1
+    broken = True
+    rows.append({"spotify_id": "s9", "snapshot_date": "2024-02-05"})
+    with pytest.raises(OSError, match="broken"):
+        ingest.load_batch(feed(spark, *rows), path, "o", "3")
+    broken = False
+    ingest.load_batch(feed(spark, {"spotify_id": "s9", "snapshot_date": "2024-03-05"}), path, "p", "1")
+    assert made[1:] == [[february], [february, march]]
+    tables = {name: read_table(spark, path, name) for name in marts.FACTS}
+    for name in marts.BUILDERS:
+        assert _cells(read_table(spark, path, name)) == _cells(marts.rollup(tables, name)), name
