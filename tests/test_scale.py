@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from chartmart.functions import clean as c
 from chartmart.plans import facts, marts, rejects
 from chartmart.plans.transform import clean_rows
-from chartmart.plans.warehouse import write_warehouse
+from chartmart.plans.warehouse import OnDemandWarehouse, write_warehouse
 from chartmart.session import using_conf
 from chartmart.sources.feed import file_order, with_file_numbers
 from chartmart.sources.tables import create_missing, read_table
 from chartmart.streaming import ingest
-from checks.trade_feed import chart_feed
+from checks.trade_feed import _sold, chart_feed
 from tests.feeds import feed
 
 
@@ -178,3 +178,61 @@ def test_only_months_with_new_rows_get_new_rollups(spark, tmp_path, monkeypatch)
     tables = {name: read_table(spark, path, name) for name in marts.FACTS}
     for name in marts.BUILDERS:
         assert _cells(read_table(spark, path, name)) == _cells(marts.rollup(tables, name)), name
+
+
+_FAR = {"spark.sql.autoBroadcastJoinThreshold": "-1"}  # as for large tables
+
+
+def test_lines_travel_once_to_their_orders(spark, tmp_path):
+    _trade(spark, str(tmp_path))
+    with using_conf(spark, _FAR):
+        sold = _sold(spark, str(tmp_path))
+        assert _plan(sold).count("hashpartitioning(l_orderkey") == 1
+        assert sorted(map(tuple, sold.collect())) == [(53, 5, 0, 5), (60, 5, 0, 9), (60, 7, 5, 1)]
+
+
+def test_facts_are_grouped_and_written_in_one_shuffle(spark, tmp_path):
+    rows = [{"spotify_id": f"s{i % 40}", "country": f"C{i % 3}", "popularity": str(i % 90)} for i in range(240)]
+    keyed = facts.resolve_keys(clean_rows(feed(spark, *rows)))
+    for build, n in ((facts.chart_rows, 120), (facts.fact_artist_stats, 240)):
+        plan = _plan(build(keyed))
+        assert plan.count("Exchange") == 1 and "hashpartitioning(snapshot_month" in plan
+        assert build(keyed).count() == n
+    with using_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        path = str(tmp_path / "wh")
+        write_warehouse(feed(spark, *rows), path)
+    for name in ("fact_song_daily", "fact_artist_stats", "agg_song_month"):
+        files = read_table(spark, path, name).inputFiles()
+        assert 1 < len(files) <= facts.SHARES, name  # a month is shared out, and not to every task
+
+
+def test_song_months_are_made_of_facts_alone(spark, tmp_path):
+    rows = [
+        {"spotify_id": f"s{i % 5}", "country": f"C{i % 4}", "daily_rank": str(1 + i % 3), "artists": "A, B" if i % 2 else ""}
+        for i in range(60)
+    ]
+    whole = write_warehouse(feed(spark, *rows), str(tmp_path / "whole"))
+    asked = []
+
+    def source():
+        asked.append(1)
+        return feed(spark, *rows)
+
+    lazy = OnDemandWarehouse(spark, str(tmp_path / "lazy"), source)
+    months = lazy["agg_song_month"]
+    assert _cells(months) == _cells(whole["agg_song_month"])
+    assert not (tmp_path / "lazy" / "agg_song_day").exists()
+    assert not (tmp_path / "lazy" / "_stage" / "feed").exists()  # clean rows come straight from its plan
+    assert asked == [1]
+    for name in ("fact_song_daily", "fact_chart_position", "fact_artist_stats", "agg_song_day"):
+        assert _cells(lazy[name]) == _cells(whole[name]), name
+
+
+def test_plain_text_is_kept_without_a_search(spark, values):
+    cells = [
+        "a", "a b", "a  b", " a", "a ", "", " ", "a\tb", "a\n", "\x1ca", "a\u00a0b", "\u3000", "\u00e9  x", "\u00e9", "a\x00b",
+        "a\x7fb", "~!", None,
+    ]
+    old = values(lambda x: F.nullif(F.trim(F.regexp_replace(x, c._SPACES, " ")), F.lit("")), cells)
+    assert values(c.clean_text, cells) == old
+    assert "CASEWHEN" in str(c.clean_text(F.col("x"))).upper().replace(" ", "")
