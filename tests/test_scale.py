@@ -104,6 +104,34 @@ def test_song_months_shuffle_once(spark, tmp_path):
     assert planned.agg(F.sum("fan")).first()[0] == 9 * 6  # three countries with two artists each per day
 
 
+def test_rollups_shuffle_their_facts_once(spark, tmp_path):
+    rows = [
+        {
+            "spotify_id": f"s{i % 30}",
+            "country": f"C{i % 4}",
+            "snapshot_date": ("2024-12-30", "2025-01-01")[i % 2],
+            "artists": "A, B" if i % 3 else "",
+        }
+        for i in range(300)
+    ]
+    with using_conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        tables = write_warehouse(feed(spark, *rows), str(tmp_path))
+    for name in ("agg_song_day", "agg_artist_month"):
+        planned = marts.BUILDERS[name]({**tables})
+        assert _plan(planned).count("Exchange") == 1 and "hashpartitioning(snapshot_month" in _plan(planned)
+        assert _cells(planned) == _cells(tables[name].select(*planned.columns))
+        # Written where they were grouped, without another shuffle to their months.
+        assert 2 < len(tables[name].inputFiles()) <= 2 * facts.SHARES, name
+    days = tables["fact_song_daily"].groupBy("song_key", "date_key").agg(F.count("rank_points").alias("n"))
+    assert _cells(tables["agg_song_day"].select("song_key", "date_key", "n")) == _cells(days)
+    listed = tables["fact_artist_stats"].groupBy("artist_key", "song_key", "country_key", "snapshot_month")
+    sums = listed.agg(F.count(F.lit(1)).alias("n"), F.sum("song_popularity"), F.sum("artist_score"))
+    kept = tables["agg_artist_month"].select(
+        *listed.count().columns[:4], "n", "sum_song_popularity", "sum_artist_score"
+    )
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, sums.collect()))
+
+
 def test_chart_rows_leave_the_input_order(spark):
     rows = facts.chart_rows(facts.resolve_keys(clean_rows(feed(spark, {}, {"popularity": "3"}))))
     assert "_seq" not in rows.columns
