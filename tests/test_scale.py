@@ -132,6 +132,19 @@ def test_rollups_shuffle_their_facts_once(spark, tmp_path):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, sums.collect()))
 
 
+def test_reasons_are_told_in_generated_code(spark):
+    # A lambda over the reasons would have every test of every cell interpreted.
+    source = feed(spark, {"tempo": "29", "popularity": "x", "album_release_date": "bad"}, {}, {"name": " "})
+    for rows in (rejects.cleaned(source), rejects.judged(source)):
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        assert "ArrayFilter" not in plan.toJSON()
+        assert [r[0] for r in rows.select(rejects.REASONS).collect()] == [
+            ["popularity: x", "album_release_date: bad", "tempo: 29"],
+            [],
+            ["name:  "],
+        ]
+
+
 def test_chart_rows_leave_the_input_order(spark):
     rows = facts.chart_rows(facts.resolve_keys(clean_rows(feed(spark, {}, {"popularity": "3"}))))
     assert "_seq" not in rows.columns
