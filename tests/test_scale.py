@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -348,3 +349,18 @@ def test_feed_files_are_compressed_and_whole(spark, tmp_path, monkeypatch):
         got = read_feed(spark, str(path))
         assert _cells(got.drop("_seq")) == _cells(source.drop("_seq"))
         assert sorted(r[0] for r in got.select("_seq.seq").collect()) == list(range(10))
+
+
+def test_dimensions_of_a_load_are_staged_at_the_same_time(spark, tmp_path, monkeypatch):
+    two, stage = threading.Barrier(2), ingest.materialise
+
+    def meeting(rows, where, *args, **kwargs):
+        if "/dim_" in where:
+            two.wait(timeout=60)  # six dimensions: each finds another one
+        return stage(rows, where, *args, **kwargs)
+
+    monkeypatch.setattr(ingest, "materialise", meeting)
+    path = str(tmp_path / "wh")
+    create_missing(spark, path)
+    ingest.load_batch(feed(spark, {}, {"spotify_id": "s2"}), path, "o", "1")
+    assert read_table(spark, path, "dim_song").count() == 2
